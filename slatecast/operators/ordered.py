@@ -111,7 +111,7 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
     seq = W.partitionBy(*keys).orderBy(*ordering)
     before = df.columns
     if with_index:
-        df = df.withColumn(idx, F.row_number().over(seq))
+        df = df.withColumn(idx, F.row_number().over(seq).cast("long"))
     last = 0 if include_current else -1
     cols = {}
     for name, spec in outputs.items():
