@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from oracle.models import MODELS, compose
+from oracle import studies
+from oracle.models import compose
 from slatecast.functions.pitch_flags import FLAGS
 from slatecast.plans import features as f
-from slatecast.plans.slate import SLATE_CONTEXT
 
 DIGITS = 10
 
@@ -63,4 +63,4 @@ FINAL |= {
 
 
 def statements() -> dict[str, str]:
-    return {name: compose(text) for name, text in FINAL.items()}
+    return {name: compose(text, studies.MODELS) for name, text in {**FINAL, **studies.FINAL}.items()}

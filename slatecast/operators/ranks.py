@@ -3,7 +3,8 @@
 Built-in ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, and a rank window sorts a group on one task. Here values
 are counted per (group, value) and accumulated with ``ordered_windows``, which
-splits groups of any size, so both stay exact at scale.
+splits groups of any size, so both stay exact at scale. Rows with a NULL group
+key belong to no group.
 """
 
 from __future__ import annotations
@@ -29,12 +30,14 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[floa
     """Linear-interpolated quantiles: one row per group, ``edges`` array in
     ``probs`` order, and ``n`` non-NULL values."""
     by = list(by)
+    if not by:
+        return quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
     upto = _counted(df, by, value)
     sizes = store(upto.groupBy(*by).agg(F.sum("_n").alias("_size")), "group-sizes")
     ranks = F.array(*[F.struct(F.lit(i).alias("i"),
                                (F.lit(float(p)) * (F.col("_size") - 1)).alias("at"))
                       for i, p in enumerate(probs)])
-    joined = upto.join(sizes, by) if by else upto.crossJoin(sizes)
+    joined = upto.join(sizes, by)
     first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
     # keep only rows that cover a wanted rank: at most two per quantile
     hits = F.filter(ranks, lambda r: (F.floor(r["at"]).between(first, last))
@@ -66,8 +69,11 @@ def quantile_bins(df: DataFrame, by: Sequence[str], value: str, bins: int, name:
     One edge array per group: stored, so that its size decides the join.
     """
     by = list(by)
+    if not by:
+        keyed = df.withColumn("_all", F.lit(0))
+        return quantile_bins(keyed, ["_all"], value, bins, name).drop("_all")
     edges = store(quantiles(df, by, value, [i / bins for i in range(bins + 1)]).drop("n"), "edges")
-    joined = df.join(edges, by, "left") if by else df.crossJoin(edges)
+    joined = df.join(edges, by, "left")
     return joined.withColumn(name, bin_of(F.col(value), F.col("edges")))
 
 
@@ -79,6 +85,8 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str, min_pairs: int =
     (n + 1) / 2. NULL under ``min_pairs`` pairs or for a constant column.
     """
     by = list(by)
+    if not by:
+        return spearman(df.withColumn("_all", F.lit(0)), ["_all"], x, y, min_pairs).drop("_all")
     pairs = store(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
                   .groupBy(*by, x, y).agg(F.count(F.lit(1)).alias("_pairs")), "pairs")
 
@@ -90,7 +98,7 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str, min_pairs: int =
 
     sizes = store(pairs.groupBy(*by).agg(F.sum("_pairs").alias("n_pairs")), "pair-counts")
     both = pairs.join(ranked(x, "_rx"), [*by, x]).join(ranked(y, "_ry"), [*by, y])
-    both = both.join(sizes, by) if by else both.crossJoin(sizes)
+    both = both.join(sizes, by)
     mean = (F.col("n_pairs") + 1) / 2
     dx, dy, w = F.col("_rx") - mean, F.col("_ry") - mean, F.col("_pairs")
     sums = both.groupBy(*by, "n_pairs").agg(F.sum(w * dx * dy).alias("_xy"),

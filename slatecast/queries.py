@@ -11,8 +11,18 @@ from pyspark.sql import types as T
 
 from slatecast.adapter import SLATE_DATE
 from slatecast.functions.pitch_flags import FLAGS
-from slatecast.plans import features, output, slate
+from slatecast.functions.rates import eb_shrink, wilson
+from slatecast.operators.asof import asof_join
+from slatecast.operators.modal import modal_value
+from slatecast.operators.ordered import Previous, Recent, Running, ordered_windows
+from slatecast.operators.ranks import quantiles, spearman
+from slatecast.operators.runs import longest_run
+from slatecast.plans import evaluation, features, output, quality, research, slate, staging
+from slatecast.plans import model as training
 from slatecast.plans.warehouse import TABLES, StarWarehouse
+from slatecast.schemas import DATE_COLUMN
+from slatecast.session import store
+from slatecast.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,3 +153,306 @@ def slate_summary(spark, sf_dir):
 def slate_top10(spark, sf_dir):
     w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
     return output.top_scored(w.raw("predictions"))
+
+
+# ---- factor research ---------------------------------------------------------
+
+# thresholds of the registered studies: lower than the library defaults, whose
+# group sizes the test data does not reach
+MONTH_ROWS = 100
+CATEGORY_ROWS = 50
+MATRIX_AB = 5
+BVP_PA = 2
+
+
+def _features(spark, sf_dir) -> StarWarehouse:
+    return StarWarehouse(spark, sf_dir, (*TABLES, "feat_batter_game"))
+
+
+def _factor_values(spark, sf_dir) -> DataFrame:
+    return store(research.long_form(_features(spark, sf_dir).feat_batter_game, research.FACTORS), "factor-values")
+
+
+def _research_frame(spark, sf_dir) -> DataFrame:
+    w = _features(spark, sf_dir)
+    return research.research_frame(w.feat_batter_game, w.fct_batter_game, w.dim_player, w.dim_team,
+                                   w.fct_batter_vs_pitcher)
+
+
+@query
+def research_frame(spark, sf_dir):
+    return rounded(_research_frame(spark, sf_dir))
+
+
+@query
+def decile_table(spark, sf_dir):
+    return rounded(research.decile_table(_factor_values(spark, sf_dir)))
+
+
+@query
+def monthly_ic(spark, sf_dir):
+    return rounded(research.monthly_ic(_factor_values(spark, sf_dir), MONTH_ROWS), 8)
+
+
+@query
+def controlled_ic(spark, sf_dir):
+    return rounded(research.controlled_ic(_factor_values(spark, sf_dir)), 8)
+
+
+@query
+def study_continuous(spark, sf_dir):
+    return rounded(research.study_continuous(_features(spark, sf_dir).feat_batter_game,
+                                             min_month_rows=MONTH_ROWS), 8)
+
+
+@query
+def bvp_study(spark, sf_dir):
+    return rounded(research.bvp_study(_research_frame(spark, sf_dir), BVP_PA, min_month_rows=10,
+                                      min_controlled=100), 8)
+
+
+@query
+def study_categorical(spark, sf_dir):
+    return rounded(research.study_categorical(_research_frame(spark, sf_dir), CATEGORY_ROWS))
+
+
+@query
+def study_scoreboard(spark, sf_dir):
+    frame = store(_research_frame(spark, sf_dir), "research-frame")
+    spreads = research.category_spread(research.study_categorical(frame, CATEGORY_ROWS))
+    return rounded(research.scoreboard(research.study_continuous(frame, min_month_rows=MONTH_ROWS), spreads), 8)
+
+
+@query
+def daily_tiers(spark, sf_dir):
+    return research.daily_tiers(_features(spark, sf_dir).feat_batter_game)
+
+
+@query
+def streak_buckets(spark, sf_dir):
+    return rounded(research.streak_buckets(_features(spark, sf_dir).feat_batter_game))
+
+
+@query
+def pitchtype_league(spark, sf_dir):
+    return rounded(research.pitchtype_league(StarWarehouse(spark, sf_dir, ()).fct_batter_pitchtype))
+
+
+@query
+def pitchtype_matrix(spark, sf_dir):
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "fct_batter_pitchtype"))
+    return rounded(research.pitchtype_matrix(w.fct_batter_pitchtype, w.dim_player, min_ab=MATRIX_AB))
+
+
+# ---- evaluation ----------------------------------------------------------------
+
+def _scored(spark, sf_dir) -> DataFrame:
+    """Starters' feature rows with a fixed stand-in score and the naive pickers."""
+    ready = store(training.prepare(_features(spark, sf_dir).feat_batter_game), "starters")
+    fill = training.medians(ready, ["pa_roll10"])["pa_roll10"]
+    stand_in = ((F.col("game_pk") * 31 + F.col("batter_id") * 7) % 128).cast("double") / 128
+    return store(evaluation.baseline_scores(ready.withColumn("p_model", stand_in), fill), "scored")
+
+
+MODELS = {"model": "p_model", "eb_pa": "eb_pa"}
+
+
+@query
+def metric_rows(spark, sf_dir):
+    return rounded(evaluation.metric_rows(_scored(spark, sf_dir), MODELS), 8)
+
+
+@query
+def top_k_rates(spark, sf_dir):
+    return rounded(evaluation.top_k_rates(_scored(spark, sf_dir), MODELS))
+
+
+@query
+def tier_table(spark, sf_dir):
+    return rounded(evaluation.tier_table(_scored(spark, sf_dir), MODELS), 8)
+
+
+@query
+def slice_table(spark, sf_dir):
+    return rounded(evaluation.slice_table(_scored(spark, sf_dir), "p_model"), 8)
+
+
+@query
+def calibration_buckets(spark, sf_dir):
+    return rounded(evaluation.calibration_buckets(_scored(spark, sf_dir), "p_model"))
+
+
+@query
+def picker_table(spark, sf_dir):
+    return rounded(evaluation.picker_table(_scored(spark, sf_dir)))
+
+
+@query
+def picker_curve(spark, sf_dir):
+    return rounded(evaluation.picker_curve(_scored(spark, sf_dir)))
+
+
+@query
+def temporal_splits(spark, sf_dir):
+    """Rows and date range of every split, with the recency weight of the train set."""
+    ready = store(training.prepare(_features(spark, sf_dir).feat_batter_game), "starters")
+    sp = training.temporal_splits(ready)
+    parts = {"train": training.recency_weight(sp.train, 730), "train_fit": sp.train_fit,
+             "train_tail": sp.train_tail, "calib_fit": sp.calib_fit, "calib_eval": sp.calib_eval,
+             "test": sp.test}
+    weight = {n: F.sum("weight") if n == "train" else F.lit(None).cast("double") for n in parts}
+    rows = [d.agg(F.count(F.lit(1)).alias("n"), F.min("game_date").alias("first_date"),
+                  F.max("game_date").alias("last_date"), weight[n].alias("weight"))
+            .withColumn("split", F.lit(n)) for n, d in parts.items()]
+    return rounded(evaluation.union_all(rows), 6)
+
+
+# rows only: MLlib's optimisers have no SQL twin
+QUICK = training.Params(gbt_rounds=10, gbt_depth=4, gbt_step=0.1, epa_rounds=10, epa_depth=4, epa_step=0.1,
+                        gbt_min_rows=20, epa_min_rows=20)
+
+
+@query
+def train_scoreboard(spark, sf_dir):
+    return training.train(_features(spark, sf_dir).feat_batter_game, QUICK).board
+
+
+# ---- data quality ---------------------------------------------------------------
+
+@query
+def check_suite(spark, sf_dir):
+    return quality.suite(_features(spark, sf_dir),
+                         [m for m in {**quality.UNIQUE, **quality.NOT_NULL} if m != "stg_heartbeat"])
+
+
+@query
+def leakage(spark, sf_dir):
+    return quality.leaks(_features(spark, sf_dir).feat_batter_game)
+
+
+@query
+def freshness(spark, sf_dir):
+    w = StarWarehouse(spark, sf_dir, ())
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    now = "2024-02-01 00:00:00"
+    return rounded(evaluation.union_all([
+        quality.check_freshness(events, "ts", now, 26, 50, "events"),
+        quality.check_freshness(w.raw("pitches"), F.to_timestamp("game_date"), "2026-05-15 06:00:00", 48, 78, "pitches"),
+        quality.check_freshness(w.raw("games"), quality.load_time(), "2023-11-16 00:00:00", 26, 50, "games"),
+        quality.check_freshness(w.stg_heartbeat, "run_at", now, 26, 50, "heartbeat")]))
+
+
+@query
+def reconcile(spark, sf_dir):
+    """Raw pitches against a copy that lost some rows and some of its weeks."""
+    raw = StarWarehouse(spark, sf_dir, ()).raw("pitches").select(
+        F.to_date("game_date").alias("game_date"), "game_pk", "at_bat_number", "pitch_number", "batter")
+    lossy = raw.filter((F.col("game_date") >= F.lit("2021-05-01").cast("date")) & (F.col("batter") % 37 != 0))
+    return rounded(quality.reconcile_counts(raw, lossy, "game_date", staging.PITCH_KEY))
+
+
+PARITY = {"sc_pa": "sc_pa", "sc_hits": "sc_hits", "k_pct": "k_pct", "contact_pct": "contact_pct",
+          "xba_mean": "xba_mean", "barrel_pct": "barrel_pct"}
+DRIFTING = ["xba_mean", "barrel_pct"]
+
+
+@query
+def parity(spark, sf_dir):
+    """The batter-game model against a restated copy of itself."""
+    game = StarWarehouse(spark, sf_dir, ("stg_pitches", "int_batter_game")).int_batter_game
+    restated = game.withColumns({
+        "xba_mean": F.when(F.col("game_pk") % 5 == 0, F.col("xba_mean") + 0.01).otherwise(F.col("xba_mean")),
+        "contact_pct": F.when(F.col("batter_id") % 50 == 0, F.lit(None)).otherwise(F.col("contact_pct"))})
+    return rounded(quality.parity(game, restated, ["game_pk", "batter_id"], PARITY,
+                                  [m for m in PARITY if m not in DRIFTING]))
+
+
+@query
+def coverage(spark, sf_dir):
+    w = StarWarehouse(spark, sf_dir, ())
+    return sinks.coverage(spark, {t: w.raw(t) if t != "heartbeat" else None
+                                  for t in [*DATE_COLUMN, "heartbeat"]})
+
+
+# ---- generic operators over the given tables ----------------------------------
+
+def _events(spark, sf_dir) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+@query
+def asof_last_purchase(spark, sf_dir):
+    """Every event with its user's latest strictly earlier purchase."""
+    events = _events(spark, sf_dir)
+    bought = events.filter("event_type = 'purchase'").select(
+        "user_id", "ts", F.col("value").alias("last_purchase"))
+    return asof_join(events.select("event_id", "user_id", "ts"), bought, "ts", "ts", ["last_purchase"], ["user_id"])
+
+
+@query
+def asof_inclusive(spark, sf_dir):
+    """Every event with its user's latest error up to and including its time."""
+    events = _events(spark, sf_dir)
+    errors = events.filter("event_type = 'error'").select("user_id", "ts", F.col("event_id").alias("error_id"))
+    return asof_join(events.select("event_id", "user_id", "ts"), errors, "ts", "ts", ["error_id"],
+                     ["user_id"], strict=False)
+
+
+@query
+def asof_league(spark, sf_dir):
+    """League rate strictly before each scheduled game date, no key."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    games = w.stg_games.select("game_pk", "official_date")
+    return rounded(asof_join(games, w.int_league_daily, "official_date", "game_date", ["league_hit_per_pa"]))
+
+
+@query
+def event_quantiles(spark, sf_dir):
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    q = quantiles(_events(spark, sf_dir), ["event_type"], "value", probs)
+    return rounded(q.select("event_type", "n", *[F.element_at("edges", i + 1).alias(f"q{int(p * 100)}")
+                                                 for i, p in enumerate(probs)]), 8)
+
+
+@query
+def price_spearman(spark, sf_dir):
+    """Rank correlation of quantity and price per return flag and line status."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return rounded(spearman(lines, ["l_returnflag", "l_linestatus"], "l_quantity", "l_extendedprice"), 8)
+
+
+@query
+def longest_event_run(spark, sf_dir):
+    """Longest run of small values per user."""
+    rows = _events(spark, sf_dir).select("user_id", "ts", "event_id", (F.col("value") >= 20).cast("int").alias("big"))
+    return longest_run(rows, ["user_id"], ["ts", "event_id"], "big", 0)
+
+
+@query
+def user_streaks(spark, sf_dir):
+    """Running, recent and previous columns per user over the event stream."""
+    rows = _events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type", F.round("value").alias("v"))
+    specs = {"v_before": Running("sum", F.col("v")), "n_before": Running("count"),
+             "v_type_before": Running("sum", F.col("v"), ("event_type",)),
+             "max_before": Running("max", F.col("v")),
+             "v_recent": Recent("avg", F.col("v"), 5), "previous_ts": Previous(F.col("ts"))}
+    return rounded(ordered_windows(rows, ["user_id"], ["ts", "event_id"], specs, index="idx")
+                   .drop("event_type", "v"))
+
+
+@query
+def modal_ship_mode(spark, sf_dir):
+    """Most frequent return flag per part, lowest on a tie."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return modal_value(lines, ["l_partkey"], "l_returnflag", "flag")
+
+
+@query
+def supplier_wilson(spark, sf_dir):
+    """Return rate per supplier, its interval and its shrunk value."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    g = lines.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"),
+                                       F.count_if(F.col("l_returnflag") == "R").alias("k"))
+    lo, hi = wilson("k", "n")
+    return rounded(g.select("l_suppkey", "n", "k", lo.alias("lo"), hi.alias("hi"),
+                            eb_shrink("k", "n", F.lit(0.25)).alias("shrunk")))
