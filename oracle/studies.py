@@ -42,17 +42,17 @@ def rank_ic(source: str, by: str, x: str, y: str) -> str:
     """Spearman as Pearson on average ranks; NULL for few pairs or a constant."""
     return f"""
         select {by}, count(*) as n_pairs,
-               case when count(*) >= 30 and min(rx) < max(rx) and min(ry) < max(ry) then corr(rx, ry) end as ic
+               case when count(*) >= 30 and min(rx) < max(rx) and min(ry) < max(ry) then round(corr(rx, ry), 14) end as ic
         from (select *, {average_rank(by, x)} as rx, {average_rank(by, y)} as ry
               from (select * from {source} where {x} is not null and {y} is not null))
         group by {by}"""
 
 
 _COLS = list(rs.FACTORS.values())
-_DOUBLE = ", ".join(f"cast({c} as double) as {c}" for c in _COLS)
+_DOUBLE = ", ".join(f"round(cast({c} as double), 10) as {c}" for c in _COLS)
 MODELS["long_factors"] = f"""
     select season, month, has_hit, ctl as pa_roll10, factor, value
-    from (unpivot (select season, month, has_hit, cast(pa_roll10 as double) as ctl, {_DOUBLE} from {{feat_batter_game}})
+    from (unpivot (select season, month, has_hit, round(pa_roll10, 10) as ctl, {_DOUBLE} from {{feat_batter_game}})
           on {', '.join(_COLS)} into name factor value value)"""
 # unpivot drops NULL values, so sizes come from the frame itself
 MODELS["month_sizes"] = "select season, month, count(*) as n from {feat_batter_game} group by 1, 2"
@@ -117,7 +117,7 @@ MODELS["research_frame"] = f"""
     left join {{dim_player}} p on p.player_id = f.batter_id
     left join {{dim_team}} t on t.team_id = f.opponent_team_id"""
 MODELS["met_pairs"] = f"""
-    select 'bvp_hits_per_pa' as factor, season, month, has_hit, pa_roll10, bvp_hits_per_pa as value
+    select 'bvp_hits_per_pa' as factor, season, month, has_hit, round(pa_roll10, 10) as pa_roll10, bvp_hits_per_pa as value
     from {{research_frame}} where bvp_pa_career >= {BVP_PA} and bvp_hits_per_pa is not null"""
 MODELS["met_months"] = f"""
     select factor, season, month, ic from ({rank_ic('{met_pairs}', 'factor, season, month', 'value', 'has_hit')})
@@ -402,7 +402,7 @@ _FRAME_DOUBLES = ["win_pct_entering", "eb_hit_per_pa_season", "hit_per_pa_roll40
                   *[c for c in _COLS if c not in ("league_rank_entering", "hit_streak_entering", "hitless_streak_entering")]]
 FINAL |= {
     "research_frame": rounded("research_frame", [c for c in _FRAME_DOUBLES if c != "win_pct_entering"]),
-    "decile_table": rounded("decile_table", ["mid", "rate", "lo", "hi"]).replace(
+    "decile_table": rounded("decile_table", ["mid", "rate", "lo", "hi"], 8).replace(
         "select *", "select * replace (cast(decile as integer) as decile) from (select *") + ")",
     "monthly_ic": rounded("monthly_ic", ["ic"], 8),
     "controlled_ic": rounded("controlled_ic", ["pa_controlled_ic"], 8),
@@ -428,4 +428,9 @@ FINAL |= {
     "reconcile": rounded("reconcile", ["diff_pct"]),
     "parity": rounded("parity", ["mismatch_rate"]),
     "coverage": "select * from {coverage}",
+    "stream_dedup": "select distinct game_pk, at_bat_number, pitch_number from {raw_pitches}",
+    "stream_latest": first_per("{raw_games}", "game_pk", "load_id desc"),
+    "stream_grade": """
+        select p.game_pk, p.batter_id, p.slate_date, p.p_hit, p.model_version, f.has_hit, f.hits, f.pa
+        from {predictions} p join {fct_batter_game} f using (game_pk, batter_id)""",
 }

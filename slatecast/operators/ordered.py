@@ -53,7 +53,55 @@ class Previous:
     value: Column
 
 
-Spec = Running | Recent | Previous
+@dataclass(frozen=True)
+class RecentMeans:
+    """Means over several last-n windows at once, NULLs skipped; the output
+    name is followed by each n.
+
+    Each n is twice the one before, so only the shortest frame is summed: a
+    longer window is the shorter one here plus the shorter one n rows back.
+    """
+
+    value: Column
+    rows: tuple[int, ...]
+
+    def __post_init__(self) -> None:
+        if any(b != 2 * a for a, b in zip(self.rows, self.rows[1:])):
+            raise ValueError("each window must be twice the one before")
+
+
+Spec = Running | Recent | RecentMeans | Previous
+
+
+def _columns(outputs: Mapping[str, Spec]) -> list[str]:
+    return [c for name, spec in outputs.items()
+            for c in ([f"{name}{n}" for n in spec.rows] if isinstance(spec, RecentMeans) else [name])]
+
+
+def _with_means(df: DataFrame, outputs: Mapping[str, Spec], seq, include_current: bool) -> DataFrame:
+    """Add the RecentMeans outputs; every step shares one partitioning and sort."""
+    specs = {n: s for n, s in outputs.items() if isinstance(s, RecentMeans)}
+    if not specs:
+        return df
+    last = 0 if include_current else -1
+    cols = {}
+    for name, spec in specs.items():
+        n = spec.rows[0]
+        frame = seq.rowsBetween(last - n + 1, last)
+        cols[f"_s_{name}{n}"] = F.coalesce(F.sum(spec.value.cast("double")).over(frame), F.lit(0.0))
+        cols[f"_c_{name}{n}"] = F.count(spec.value).over(frame)
+    df = df.withColumns(cols)
+    for step in range(1, max(len(s.rows) for s in specs.values())):
+        cols = {}
+        for name, spec in specs.items():
+            if step < len(spec.rows):
+                a, b = spec.rows[step - 1], spec.rows[step]
+                for kind, none in (("s", 0.0), ("c", 0)):
+                    short = f"_{kind}_{name}{a}"
+                    cols[f"_{kind}_{name}{b}"] = F.col(short) + F.lag(short, a, none).over(seq)
+        df = df.withColumns(cols)
+    return df.withColumns({f"{name}{n}": F.col(f"_s_{name}{n}") / F.nullif(F.col(f"_c_{name}{n}"), F.lit(0))
+                           for name, spec in specs.items() for n in spec.rows})
 
 _BUILTIN = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 
@@ -68,23 +116,28 @@ def _aggregate(how: str, value: Column | None, keep: Column | None = None) -> Co
 
 def ordered_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     outputs: Mapping[str, Spec], *, index: str | None = None,
-                    include_current: bool = False, max_rows: int | None = None) -> DataFrame:
+                    include_current: bool = False, max_rows: int | None = None,
+                    sized_by: DataFrame | None = None) -> DataFrame:
     """Add ``outputs`` to ``df``; frames end before the current row unless
     ``include_current``. ``index`` names a 1-based position column, which the
     output values may use. (keys, order) should be unique per row, and ``df``
     cheap to read twice (a table or a stored result), for it is read once to
-    count groups.
+    count groups; ``sized_by`` names another table with the same keys to count
+    instead.
     """
     keys, order = list(keys), list(order)
     if not keys:   # one group: give it a key, the count below decides how it runs
         out = ordered_windows(df.withColumn("_all", F.lit(0)), ["_all"], order, outputs, index=index,
-                              include_current=include_current, max_rows=max_rows)
+                              include_current=include_current, max_rows=max_rows,
+                              sized_by=None if sized_by is None else sized_by.withColumn("_all", F.lit(0)))
         return out.drop("_all")
     limit = max_rows or max_group_rows(df.sparkSession)
-    hot = _hot_groups(df, keys, limit)
+    hot = _hot_groups(df if sized_by is None else sized_by, keys, limit)
     idx = index or "_idx"
     if hot is None:
         return _plain(df, keys, order, outputs, idx, index is not None, include_current)
+    if sized_by is not None:
+        df = store(df, "windowed")
     cold_rows = df.join(hot, _same(df, hot, keys), "left_anti")
     hot_rows = df.join(hot, _same(df, hot, keys), "left_semi")
     cold = _plain(cold_rows, keys, order, outputs, idx, index is not None, include_current)
@@ -115,6 +168,8 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
     last = 0 if include_current else -1
     cols = {}
     for name, spec in outputs.items():
+        if isinstance(spec, RecentMeans):
+            continue
         if isinstance(spec, Previous):
             cols[name] = F.lag(spec.value).over(seq)
         elif isinstance(spec, Recent):
@@ -127,8 +182,8 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
                 cols[name] = F.last(spec.value, ignorenulls=True).over(frame)
             else:
                 cols[name] = _aggregate(spec.how, spec.value).over(frame)
-    names = [*before, *([idx] if with_index else []), *outputs]
-    return df.withColumns(cols).select(*names)
+    names = [*before, *([idx] if with_index else []), *_columns(outputs)]
+    return _with_means(df.withColumns(cols), outputs, seq, include_current).select(*names)
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
@@ -157,7 +212,8 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
 
 
 def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
-    lookback = max([1] + [s.rows for s in outputs.values() if isinstance(s, Recent)])
+    lookback = max([1] + [s.rows for s in outputs.values() if isinstance(s, Recent)]
+                   + [s.rows[-1] for s in outputs.values() if isinstance(s, RecentMeans)])
     length = max(limit, lookback)
     rows = with_position(df, keys, order, idx, limit)
     rows = rows.withColumn("_block", F.expr(f"({idx} - 1) div {length}"))
@@ -174,6 +230,8 @@ def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
     last = 0 if include_current else -1
     cols = {}
     for name, spec in outputs.items():
+        if isinstance(spec, RecentMeans):
+            continue
         if isinstance(spec, Previous):
             cols[name] = F.lag(spec.value).over(seq)
         elif isinstance(spec, Recent):
@@ -186,7 +244,7 @@ def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
                 cols[name] = F.last(F.when(own, spec.value), ignorenulls=True).over(frame)
             else:
                 cols[name] = _aggregate(spec.how, spec.value, own).over(frame)
-    out = spread.withColumns(cols).filter(own).drop("_copy")
+    out = _with_means(spread.withColumns(cols), outputs, seq, include_current).filter(own).drop("_copy")
 
     running = {n: s for n, s in outputs.items() if isinstance(s, Running)}
     for within in {s.within for s in running.values()}:
@@ -203,7 +261,7 @@ def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
         out = out.withColumns({n: _combine(n, s) for n, s in mine.items()})
         out = out.drop("_hot_block", *[f"_hot_{g}" for g in group],
                        *[f"_carry_{n}" for n in mine])
-    return out.select(*[c for c in source if c != "_block"], *outputs)
+    return out.select(*[c for c in source if c != "_block"], *_columns(outputs))
 
 
 def _total(name: str, spec: Running, idx: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.operators.ordered import Recent, Running, Spec, ordered_windows
+from slatecast.operators.ordered import RecentMeans, Running, Spec, ordered_windows
 
 
 def streak_specs(outcome: str, index: str) -> dict[str, Spec]:
@@ -45,4 +45,4 @@ def expanding_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value
 
 def recent_means(metrics: Sequence[str], windows: Sequence[int], prefix: str = "") -> dict[str, Spec]:
     """Rolling means of every metric over every window length; NULLs skipped."""
-    return {f"{prefix}{m}_roll{w}": Recent("avg", F.col(m), w) for w in windows for m in metrics}
+    return {f"{prefix}{m}_roll": RecentMeans(F.col(m), tuple(windows)) for m in metrics}

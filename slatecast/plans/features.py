@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,10 +40,12 @@ def matched_split(hand: str) -> dict:
             .otherwise(F.col(f"_{m}_vs_r_roll{w}")) for w in WINDOWS for m in SPLIT_METRICS}
 
 
-def lagged_history(batter_games: DataFrame) -> DataFrame:
-    """Prior totals, streak marks and 100 rolling means in one ordered pass."""
+def lagged_history(batter_games: DataFrame, sized_by: DataFrame | None = None,
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """Prior totals, streak marks and 100 rolling means in one ordered pass;
+    ``carry`` columns ride along."""
     base = with_rates(batter_games)
-    need = [*CONTEXT, *TARGETS, *METRICS, *SPLIT_COLUMNS]
+    need = [*CONTEXT, *TARGETS, *METRICS, *SPLIT_COLUMNS, *carry]
     base = base.select(*dict.fromkeys(need))
     season = ("season",)
     specs = {
@@ -54,7 +58,7 @@ def lagged_history(batter_games: DataFrame) -> DataFrame:
         **streak_specs("has_hit", "game_idx"),
         **recent_means(METRICS, WINDOWS), **recent_means(SPLIT_COLUMNS, WINDOWS, "_"),
     }
-    return ordered_windows(base, ["batter_id"], ORDER, specs, index="game_idx")
+    return ordered_windows(base, ["batter_id"], ORDER, specs, index="game_idx", sized_by=sized_by)
 
 
 def league_entering(league_daily: DataFrame) -> DataFrame:
@@ -93,31 +97,38 @@ FEATURES = [*COUNTS, "days_rest", "league_hit_per_pa_entering", "eb_hit_per_pa_c
             "war_prev_season", "pa_prev_season"]
 
 
+def join_context(batter_games: DataFrame, league_daily: DataFrame, pitcher_rolling: DataFrame,
+                 team_rolling: DataFrame, war: DataFrame) -> DataFrame:
+    """Opposing starter, own offense, opposing defense, league and prior season."""
+    starter = pitcher_rolling.withColumnRenamed("pitcher_id", "opp_starter_id").drop("game_date")
+    offense = team_rolling.select("game_pk", "team_id", *OFFENSE)
+    defense = team_rolling.select("game_pk", F.col("team_id").alias("opponent_team_id"),
+                                  *[F.col(c).alias(n) for n, c in DEFENSE.items()])
+    return (batter_games.join(starter, ["game_pk", "opp_starter_id"], "left")
+            .join(offense, ["game_pk", "team_id"], "left")
+            .join(defense, ["game_pk", "opponent_team_id"], "left")
+            .join(prior_season(war), ["batter_id", "season"], "left")
+            .join(league_entering(league_daily), "game_date", "left"))
+
+
+JOINED = [*PITCHER_COLUMNS, *OFFENSE, *DEFENSE, "war_prev_season", "pa_prev_season",
+          "league_hit_per_pa_entering"]
+
+
 def feat_batter_game(batter_games: DataFrame, league_daily: DataFrame, pitcher_rolling: DataFrame,
                      team_rolling: DataFrame, war: DataFrame) -> DataFrame:
-    rows = lagged_history(batter_games).join(league_entering(league_daily), "game_date", "left")
+    """The context joins come first, on narrow rows: the hundred rolling
+    columns appear in the last stage and are never shuffled."""
+    context = join_context(batter_games, league_daily, pitcher_rolling, team_rolling, war)
+    rows = lagged_history(context, sized_by=batter_games, carry=JOINED)
     prior = F.coalesce("league_hit_per_pa_entering", F.lit(LEAGUE_PRIOR))
     counts = {f"{s}_{c}_prior": F.coalesce(f"_{s}_{c}", F.lit(0))
               for s in ("career", "season") for c in ("pa", "hits", "games")}
-    rows = rows.withColumns(counts).withColumns({
+    return rows.withColumns(counts).withColumns({
         "days_rest": F.datediff("game_date", "_previous_date"),
         "eb_hit_per_pa_career": eb_shrink("career_hits_prior", "career_pa_prior", prior),
         "eb_hit_per_pa_season": eb_shrink("season_hits_prior", "season_pa_prior", prior),
         "hit_streak_entering": streak_entering("game_idx", "_last_miss"),
         "hitless_streak_entering": streak_entering("game_idx", "_last_hit"),
         **matched_split("opp_starter_throws"),
-    }).select(*CONTEXT, *TARGETS, *[f for f in FEATURES if f in _OWN])
-    starter = pitcher_rolling.withColumnRenamed("pitcher_id", "opp_starter_id").drop("game_date")
-    offense = team_rolling.select("game_pk", "team_id", *OFFENSE)
-    defense = team_rolling.select("game_pk", F.col("team_id").alias("opponent_team_id"),
-                                  *[F.col(c).alias(n) for n, c in DEFENSE.items()])
-    return (rows.join(starter, ["game_pk", "opp_starter_id"], "left")
-            .join(offense, ["game_pk", "team_id"], "left")
-            .join(defense, ["game_pk", "opponent_team_id"], "left")
-            .join(prior_season(war), ["batter_id", "season"], "left")
-            .select(*CONTEXT, *TARGETS, *FEATURES))
-
-
-_OWN = {*COUNTS, "days_rest", "league_hit_per_pa_entering", "eb_hit_per_pa_career",
-        "eb_hit_per_pa_season", "hit_streak_entering", "hitless_streak_entering",
-        *ROLLED, *PLATOON_ROLLED}
+    }).select(*CONTEXT, *TARGETS, *FEATURES)

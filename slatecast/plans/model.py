@@ -209,8 +209,8 @@ def fit_gbt(fit: DataFrame, tail: DataFrame, cols: Sequence[str], w: str, params
     trees = GBTClassifier(featuresCol="_v", labelCol="has_hit", weightCol=w, validationIndicatorCol="_held",
                           maxIter=params.gbt_rounds, stepSize=params.gbt_step, maxDepth=params.gbt_depth,
                           minInstancesPerNode=params.gbt_min_rows, subsamplingRate=0.8,
-                          featureSubsetStrategy="0.8", seed=params.seed, probabilityCol="_prob",
-                          rawPredictionCol="_raw", predictionCol="_label")
+                          featureSubsetStrategy="0.8", seed=params.seed,
+                          predictionCol="_label").setProbabilityCol("_prob").setRawPredictionCol("_raw")
     ready = assembler.transform(filler.transform(both)).select(
         "_v", F.col("has_hit").cast("double").alias("has_hit"), w, "_held")
     return Fitted(PipelineModel([filler, assembler, trees.fit(ready)]), "classifier")

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slatecast.functions.pitch_flags import PITCH_TYPES
 from slatecast.functions.rates import at_least_one, safe_div, wilson
@@ -80,11 +81,16 @@ def research_frame(features: DataFrame, batter_games: DataFrame, players: DataFr
 
 def long_form(df: DataFrame, factors: Mapping[str, str] | Sequence[str],
               keep: Sequence[str] = ("season", "month", "has_hit", "pa_roll10")) -> DataFrame:
-    """One row per frame row and factor, value as DOUBLE."""
+    """One row per frame row and factor, value as DOUBLE.
+
+    Values are rounded to ten digits: a mean that reached the same number by
+    another order of additions must tie with it in ranks and bins.
+    """
     names = list(factors.values()) if isinstance(factors, Mapping) else list(factors)
     kept = {k: f"_keep_{k}" for k in keep}   # a kept column may be a factor too
-    wide = df.select(*[F.col(k).alias(v) for k, v in kept.items()],
-                     *[F.col(c).cast("double").alias(c) for c in names])
+    exact = {c.name for c in df.schema if not isinstance(c.dataType, T.DoubleType)}
+    wide = df.select(*[(F.col(k) if k in exact else F.round(k, 10)).alias(v) for k, v in kept.items()],
+                     *[F.round(F.col(c).cast("double"), 10).alias(c) for c in names])
     long = wide.unpivot(list(kept.values()), names, "factor", "value")
     return long.withColumnsRenamed({v: k for k, v in kept.items()})
 

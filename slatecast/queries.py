@@ -21,8 +21,9 @@ from slatecast.plans import evaluation, features, output, quality, research, sla
 from slatecast.plans import model as training
 from slatecast.plans.warehouse import TABLES, StarWarehouse
 from slatecast.schemas import DATE_COLUMN
-from slatecast.session import store
+from slatecast.session import scratch_path, store
 from slatecast.sources import sinks
+from slatecast.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,7 +187,7 @@ def research_frame(spark, sf_dir):
 
 @query
 def decile_table(spark, sf_dir):
-    return rounded(research.decile_table(_factor_values(spark, sf_dir)))
+    return rounded(research.decile_table(_factor_values(spark, sf_dir)), 8)
 
 
 @query
@@ -374,6 +375,48 @@ def coverage(spark, sf_dir):
                                   for t in [*DATE_COLUMN, "heartbeat"]})
 
 
+# ---- streams: landed files drained to a result that equals the batch one ----------
+
+LANDED_FILES = 6
+
+
+def _land(df: DataFrame, name: str) -> tuple[str, T.StructType]:
+    """Split the rows over several files, as successive loads would."""
+    path = scratch_path(df.sparkSession, f"landed-{name}")
+    df.repartition(LANDED_FILES).write.parquet(path)
+    return path, df.schema
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    keys = staging.PITCH_KEY
+    path, schema = _land(StarWarehouse(spark, sf_dir, ()).raw("pitches"), "pitches")
+    rows = jobs.dedup_stream(jobs.landed_stream(spark, path, schema, 2), keys).select(*keys)
+    out = scratch_path(spark, "deduped")
+    jobs.drain(rows, out, scratch_path(spark, "checkpoint"))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+@query
+def stream_latest(spark, sf_dir):
+    path, schema = _land(StarWarehouse(spark, sf_dir, ()).raw("games"), "games")
+    table = jobs.VersionedTable(spark, scratch_path(spark, "latest-games"), schema)
+    jobs.latest_stream(jobs.landed_stream(spark, path, schema, 3), table, ["game_pk"],
+                       [F.col("load_id").desc_nulls_last()], scratch_path(spark, "checkpoint"))
+    return table.current()
+
+
+@query
+def stream_grade(spark, sf_dir):
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    path, schema = _land(w.fct_batter_game.select("game_pk", "batter_id", "has_hit", "hits", "pa"), "outcomes")
+    log = w.raw("predictions").select("game_pk", "batter_id", "slate_date", "p_hit", "model_version")
+    graded = jobs.grade_stream(jobs.landed_stream(spark, path, schema, 2), log)
+    out = scratch_path(spark, "graded")
+    jobs.drain(graded, out, scratch_path(spark, "checkpoint"))
+    return spark.read.schema(graded.schema).parquet(out)
+
+
 # ---- generic operators over the given tables ----------------------------------
 
 def _events(spark, sf_dir) -> DataFrame:

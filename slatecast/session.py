@@ -31,6 +31,9 @@ def get_session(app: str = "slatecast", cores: str | int = "*", **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # split a hot join key even where that costs one more exchange
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # streaming state beyond executor memory
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
@@ -65,6 +68,11 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path of this application in the shared folder."""
+    return f"{scratch_root(spark)}/slatecast-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -72,7 +80,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     job), gives later reads column pruning and filters, and gives the planner
     a true size for its broadcast check.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/slatecast-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
