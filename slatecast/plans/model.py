@@ -321,6 +321,8 @@ def train(frame: DataFrame, params: Params = Params()) -> Training:
     scored = store(scored.select("game_date", "game_pk", "batter_id", "has_hit", "eb_hit_per_pa_career",
                                  "pa_roll10", *models.values()), "eval-scored")
 
+    if scored.isEmpty():
+        raise ValueError("no rows in the second half of the calibration season")
     board = store(ev.scoreboard(scored, models), "scoreboard").orderBy("log_loss", "model")
     winner_name, failures = select_winner(board, ["structural_cal", "gbm_cal"])
     tiers = ev.tier_table(scored, {"winner": models[winner_name], "eb_pa": "eb_pa"})

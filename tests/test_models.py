@@ -150,7 +150,7 @@ def test_split_path_gives_the_same_features(spark, warehouse, small_groups):
 
 def test_later_games_never_change_earlier_features(spark, warehouse):
     """Rewriting every row on or after a date leaves the rows up to it alone."""
-    cut = F.lit("2024-01-01").cast("date")
+    cut = F.lit("2021-12-01").cast("date")
     fact = warehouse.fct_batter_game
     spoiled = fact.withColumns({c: F.when(F.col("game_date") >= cut, F.lit(9)).otherwise(F.col(c)).cast(t)
                                 for c, t in (("hits", "int"), ("pa", "int"), ("has_hit", "int"))})
@@ -188,7 +188,8 @@ def test_posted_lineup_wins_and_fallback_fills(spark):
 
 def test_slate_offers_every_model_feature(spark, warehouse):
     from slatecast.plans.model import assert_contract, prepare
-    frame = warehouse.feat_slate("2024-06-15")
+    frame = warehouse.feat_slate("2021-12-15")
+    assert frame.count() > 0
     assert_contract(prepare(frame))
     assert set(features.FEATURES) <= set(frame.columns)
 
