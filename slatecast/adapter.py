@@ -117,7 +117,7 @@ ADAPTER: dict[str, str] = {
             cast(1700000000 + load_no as string) as load_id
         from (
             select each(1, 2) as load_no,
-                   game_pk, game_date, batter_id, max(game_type) as game_type,
+                   game_pk, game_date, game_type, batter_id,
                    game_pk % 25 as home,
                    (game_pk % 25 + 1 + cast(floor(game_pk / 25) as bigint) % 24) % 25 as away,
                    case when batter_id % 17 = 0 then null
@@ -131,7 +131,7 @@ ADAPTER: dict[str, str] = {
                    cast(sum(case when events = 'home_run' then 1 else 0 end) as int) as home_runs,
                    cast(sum(case when events = 'walk' then 1 else 0 end) as int) as walks,
                    cast(sum(case when events = 'strikeout' then 1 else 0 end) as int) as strikeouts
-            from {stg_pitches} group by game_pk, game_date, batter_id
+            from {stg_pitches} group by game_pk, game_date, game_type, batter_id
         ) box
         where load_no = 2 or game_pk % 5 = 0""",
     "raw_standings": """

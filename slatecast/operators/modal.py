@@ -21,9 +21,13 @@ def modal_value(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Da
 
 
 def latest_value(df: DataFrame, keys: Sequence[str], value: str, when: str, name: str) -> DataFrame:
-    """Value of the latest row that has one; greatest value on equal dates."""
-    stamped = F.when(F.col(value).isNotNull() & F.col(when).isNotNull(), F.struct(when, value))
-    return df.groupBy(*keys).agg(F.max(stamped)[value].alias(name))
+    """Value of the latest row that has one; greatest value on equal dates.
+
+    Hashed to one row per (key, value) first: few rows reach the struct maximum.
+    """
+    newest = df.groupBy(*keys, value).agg(F.max(when).alias("_when"))
+    stamped = F.when(F.col(value).isNotNull() & F.col("_when").isNotNull(), F.struct("_when", value))
+    return newest.groupBy(*keys).agg(F.max(stamped)[value].alias(name))
 
 
 def infer_switch(df: DataFrame, key: str, side: str, name: str, share: float = 0.10) -> DataFrame:

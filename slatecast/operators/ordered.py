@@ -155,8 +155,8 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def _hot_groups(df: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
     """Groups above the limit as a stored table: at most rows / limit of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    hot = store(counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-groups")
-    return None if hot.isEmpty() else hot
+    hot = counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    return None if hot.isEmpty() else store(hot, "hot-groups")
 
 
 def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFrame:
@@ -166,7 +166,7 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
     if with_index:
         df = df.withColumn(idx, F.row_number().over(seq).cast("long"))
     last = 0 if include_current else -1
-    cols = {}
+    cols, narrowed = {}, {}
     for name, spec in outputs.items():
         if isinstance(spec, RecentMeans):
             continue
@@ -178,12 +178,15 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
         else:
             part = W.partitionBy(*keys, *spec.within).orderBy(*ordering)
             frame = part.rowsBetween(W.unboundedPreceding, last)
+            mine = narrowed if spec.within else cols
             if spec.how == "last":
-                cols[name] = F.last(spec.value, ignorenulls=True).over(frame)
+                mine[name] = F.last(spec.value, ignorenulls=True).over(frame)
             else:
-                cols[name] = _aggregate(spec.how, spec.value).over(frame)
+                mine[name] = _aggregate(spec.how, spec.value).over(frame)
     names = [*before, *([idx] if with_index else []), *_columns(outputs)]
-    return _with_means(df.withColumns(cols), outputs, seq, include_current).select(*names)
+    whole = _with_means(df.withColumns(cols), outputs, seq, include_current)
+    # narrower groups need another sort: last, so the first one serves all the rest
+    return whole.withColumns(narrowed).select(*names)
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,

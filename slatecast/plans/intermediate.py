@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slatecast.functions.rates import avg_where, count_true, rate, safe_div
+from slatecast.functions.rates import rate, safe_div
+from slatecast.operators.grouping import additive_groups
 from slatecast.operators.modal import hand_split
 from slatecast.operators.ordered import Recent, ordered_windows
 
@@ -36,13 +37,11 @@ def plate_rates() -> dict[str, Column]:
 def batter_game_by_hand(flags: DataFrame) -> DataFrame:
     """Counts and sums per batter, game and pitcher hand: the one pass over
     pitches that both batter models are built from."""
-    sums = [F.sum(F.when(F.col(flag), F.col(v))).alias(f"{v}_sum") for v, flag in _MEANS.items()]
-    seen = [F.count(F.when(F.col(flag), F.col(v))).alias(f"{v}_n") for v, flag in _MEANS.items()]
-    return flags.groupBy(*BATTER_GAME, "p_throws").agg(
-        F.count(F.lit(1)).alias("pitches"),
-        *[count_true(flag).alias(n) for n, flag in _COUNTS.items()], *sums, *seen,
-        F.max("home_team").alias("home_team"), F.max("away_team").alias("away_team"),
-        F.max("inning_topbot").alias("topbot"))
+    sums = {f"{v}_sum": F.when(F.col(flag), F.col(v)) for v, flag in _MEANS.items()}
+    counts = {"pitches": None, **{n: F.col(flag) for n, flag in _COUNTS.items()}}
+    counts |= {f"{v}_n": F.col(flag) & F.col(v).isNotNull() for v, flag in _MEANS.items()}
+    return additive_groups(flags, [*BATTER_GAME, "p_throws"], ["home_team", "away_team", "inning_topbot"],
+                           counts, sums)
 
 
 _MEANS = {"xba": "is_bip", "xslg": "is_bip", "xwoba": "is_pa_end", "woba_value": "is_pa_end"}
@@ -56,7 +55,7 @@ def int_batter_game(by_hand: DataFrame) -> DataFrame:
     sums = [F.sum(f"{v}_{s}").alias(f"{v}_{s}") for v in _MEANS for s in ("sum", "n")]
     game = by_hand.groupBy(*BATTER_GAME).agg(
         *totals, *sums, F.max("home_team").alias("home_team"), F.max("away_team").alias("away_team"),
-        F.max("topbot").alias("topbot"), faced.alias("_faced")).filter("pa >= 1")
+        F.max("inning_topbot").alias("topbot"), faced.alias("_faced")).filter("pa >= 1")
     top = F.col("topbot") == "Top"
     mean = {v: safe_div(f"{v}_sum", f"{v}_n") for v in _MEANS}
     average = safe_div("hits", "ab")

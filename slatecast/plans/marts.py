@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slatecast.functions.rates import avg_where, count_true, rate
 from slatecast.operators.dedup import latest_wins
+from slatecast.operators.grouping import additive_groups
 from slatecast.operators.modal import infer_switch, latest_value, modal_value
 from slatecast.operators.ordered import Running, ordered_windows
 from slatecast.plans.intermediate import HANDS, PLATOON
@@ -132,28 +133,24 @@ def fct_batter_game(lines: DataFrame, games: DataFrame, batter_games: DataFrame,
 
 def fct_pitcher_game(flags: DataFrame, starters: DataFrame) -> DataFrame:
     """A pitcher's game: one grouped pass, then the starter flag."""
-    def both(a: str, b: str):
-        return F.count_if(F.col(a) & F.col(b))
-
-    game = flags.groupBy("game_pk", "game_date", "pitcher_id").agg(
-        F.max("pitcher_name").alias("pitcher_name"), F.max("p_throws").alias("p_throws"),
-        F.max("inning_topbot").alias("_half"), F.max("home_team").alias("_home"),
-        F.max("away_team").alias("_away"), F.count(F.lit(1)).alias("total_pitches"),
-        count_true("is_pa_end").alias("bf"), count_true("is_hit").alias("hits_conceded"),
-        count_true("is_k").alias("_k"), count_true("is_bb").alias("_bb"),
-        count_true("is_whiff").alias("_whiffs"), count_true("is_in_zone").alias("_in"),
-        count_true("is_out_zone").alias("_out"), both("is_in_zone", "is_swing").alias("_in_swings"),
-        both("is_out_zone", "is_swing").alias("_out_swings"),
-        avg_where("xwoba", "is_pa_end").alias("_xwoba")).filter("bf >= 1")
+    counts = {"total_pitches": None, "bf": F.col("is_pa_end"), "hits_conceded": F.col("is_hit"),
+              "_k": F.col("is_k"), "_bb": F.col("is_bb"), "_whiffs": F.col("is_whiff"),
+              "_in": F.col("is_in_zone"), "_out": F.col("is_out_zone"),
+              "_in_swings": F.col("is_in_zone") & F.col("is_swing"),
+              "_out_swings": F.col("is_out_zone") & F.col("is_swing"),
+              "_xwoba_n": F.col("is_pa_end") & F.col("xwoba").isNotNull()}
+    game = additive_groups(flags, ["game_pk", "game_date", "pitcher_id"],
+                           ["pitcher_name", "p_throws", "inning_topbot", "home_team", "away_team"],
+                           counts, {"_xwoba": F.when(F.col("is_pa_end"), F.col("xwoba"))}).filter("bf >= 1")
     opened = starters.select("game_pk", F.col("starter_id").alias("pitcher_id"),
                              F.lit(True).alias("is_starter")).distinct()
     return game.join(opened, ["game_pk", "pitcher_id"], "left").select(
         "game_pk", "game_date", "pitcher_id", "pitcher_name",
-        F.when(F.col("_half") == "Top", F.col("_home")).otherwise(F.col("_away")).alias("team_code"),
+        F.when(F.col("inning_topbot") == "Top", F.col("home_team")).otherwise(F.col("away_team")).alias("team_code"),
         "p_throws", F.coalesce("is_starter", F.lit(False)).alias("is_starter"), "bf", "hits_conceded",
         "total_pitches", rate("_k", "bf").alias("k_pct"), rate("_bb", "bf").alias("bb_pct"),
         rate("_out_swings", "_out").alias("o_swing_pct"), rate("_in_swings", "_in").alias("z_swing_pct"),
-        rate("_whiffs", "total_pitches").alias("swstr_pct"), F.round("_xwoba", 4).alias("xwoba_against"))
+        rate("_whiffs", "total_pitches").alias("swstr_pct"), rate("_xwoba", "_xwoba_n").alias("xwoba_against"))
 
 
 def fct_team_game(lines: DataFrame, flags: DataFrame, teams: DataFrame) -> DataFrame:
