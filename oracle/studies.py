@@ -380,7 +380,7 @@ FINAL = {
         from {events}
         window w as (partition by user_id order by ts, event_id),
                prior as (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding)""",
-    "modal_ship_mode": f"""
+    "modal_return_flag": f"""
         select l_partkey, l_returnflag as flag from ({first_per(
             '(select l_partkey, l_returnflag, count(*) as n from {lineitem} group by all)',
             'l_partkey', 'n desc, l_returnflag')})""",

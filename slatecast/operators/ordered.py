@@ -46,28 +46,28 @@ class Recent:
     rows: int
 
 
-@dataclass(frozen=True)
-class Previous:
-    """Value of the row before."""
-
-    value: Column
-
-
 @dataclass(frozen=True)
 class RecentMeans:
     """Means over several last-n windows at once, NULLs skipped; the output
     name is followed by each n.
 
-    Each n is twice the one before, so only the shortest frame is summed: a
-    longer window is the shorter one here plus the shorter one n rows back.
+    Frames are summed between consecutive lengths (rows 1-5, 6-10, 11-20, ...)
+    and the pieces added up, so each row is visited once, not once per window.
     """
 
     value: Column
     rows: tuple[int, ...]
 
-    def __post_init__(self) -> None:
-        if any(b != 2 * a for a, b in zip(self.rows, self.rows[1:])):
-            raise ValueError("each window must be twice the one before")
+    def pieces(self) -> list[tuple[int, int]]:
+        ends = sorted(self.rows)
+        return [(start + 1, end) for start, end in zip([0, *ends], ends)]
+
+
+@dataclass(frozen=True)
+class Previous:
+    """Value of the row before."""
+
+    value: Column
 
 
 Spec = Running | Recent | RecentMeans | Previous
@@ -78,30 +78,30 @@ def _columns(outputs: Mapping[str, Spec]) -> list[str]:
             for c in ([f"{name}{n}" for n in spec.rows] if isinstance(spec, RecentMeans) else [name])]
 
 
-def _with_means(df: DataFrame, outputs: Mapping[str, Spec], seq, include_current: bool) -> DataFrame:
-    """Add the RecentMeans outputs; every step shares one partitioning and sort."""
-    specs = {n: s for n, s in outputs.items() if isinstance(s, RecentMeans)}
-    if not specs:
-        return df
-    last = 0 if include_current else -1
+def _mean_pieces(outputs: Mapping[str, Spec], seq, include_current: bool) -> dict[str, Column]:
+    """Sum and count of every piece of every RecentMeans output."""
+    shift = 1 if include_current else 0
     cols = {}
-    for name, spec in specs.items():
-        n = spec.rows[0]
-        frame = seq.rowsBetween(last - n + 1, last)
-        cols[f"_s_{name}{n}"] = F.coalesce(F.sum(spec.value.cast("double")).over(frame), F.lit(0.0))
-        cols[f"_c_{name}{n}"] = F.count(spec.value).over(frame)
-    df = df.withColumns(cols)
-    for step in range(1, max(len(s.rows) for s in specs.values())):
-        cols = {}
-        for name, spec in specs.items():
-            if step < len(spec.rows):
-                a, b = spec.rows[step - 1], spec.rows[step]
-                for kind, none in (("s", 0.0), ("c", 0)):
-                    short = f"_{kind}_{name}{a}"
-                    cols[f"_{kind}_{name}{b}"] = F.col(short) + F.lag(short, a, none).over(seq)
-        df = df.withColumns(cols)
-    return df.withColumns({f"{name}{n}": F.col(f"_s_{name}{n}") / F.nullif(F.col(f"_c_{name}{n}"), F.lit(0))
-                           for name, spec in specs.items() for n in spec.rows})
+    for name, spec in outputs.items():
+        if isinstance(spec, RecentMeans):
+            for near, far in spec.pieces():
+                frame = seq.rowsBetween(shift - far, shift - near)
+                cols[f"_s_{name}{far}"] = F.sum(spec.value.cast("double")).over(frame)
+                cols[f"_c_{name}{far}"] = F.count(spec.value).over(frame)
+    return cols
+
+
+def _means(outputs: Mapping[str, Spec]) -> dict[str, Column]:
+    cols = {}
+    for name, spec in outputs.items():
+        if isinstance(spec, RecentMeans):
+            total, n = F.lit(0.0), F.lit(0)
+            for _, far in spec.pieces():
+                total = total + F.coalesce(F.col(f"_s_{name}{far}"), F.lit(0.0))
+                n = n + F.col(f"_c_{name}{far}")
+                cols[f"{name}{far}"] = total / F.nullif(n, F.lit(0))
+    return cols
+
 
 _BUILTIN = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
 
@@ -184,9 +184,9 @@ def _plain(df, keys, order, outputs, idx, with_index, include_current) -> DataFr
             else:
                 mine[name] = _aggregate(spec.how, spec.value).over(frame)
     names = [*before, *([idx] if with_index else []), *_columns(outputs)]
-    whole = _with_means(df.withColumns(cols), outputs, seq, include_current)
+    cols |= _mean_pieces(outputs, seq, include_current)
     # narrower groups need another sort: last, so the first one serves all the rest
-    return whole.withColumns(narrowed).select(*names)
+    return df.withColumns(cols).withColumns({**_means(outputs), **narrowed}).select(*names)
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
@@ -216,7 +216,7 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
 
 def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
     lookback = max([1] + [s.rows for s in outputs.values() if isinstance(s, Recent)]
-                   + [s.rows[-1] for s in outputs.values() if isinstance(s, RecentMeans)])
+                   + [max(s.rows) for s in outputs.values() if isinstance(s, RecentMeans)])
     length = max(limit, lookback)
     rows = with_position(df, keys, order, idx, limit)
     rows = rows.withColumn("_block", F.expr(f"({idx} - 1) div {length}"))
@@ -247,7 +247,8 @@ def _split(df, keys, order, outputs, idx, include_current, limit) -> DataFrame:
                 cols[name] = F.last(F.when(own, spec.value), ignorenulls=True).over(frame)
             else:
                 cols[name] = _aggregate(spec.how, spec.value, own).over(frame)
-    out = _with_means(spread.withColumns(cols), outputs, seq, include_current).filter(own).drop("_copy")
+    cols |= _mean_pieces(outputs, seq, include_current)
+    out = spread.withColumns(cols).withColumns(_means(outputs)).filter(own).drop("_copy")
 
     running = {n: s for n, s in outputs.items() if isinstance(s, Running)}
     for within in {s.within for s in running.values()}:

@@ -484,7 +484,7 @@ def user_streaks(spark, sf_dir):
 
 
 @query
-def modal_ship_mode(spark, sf_dir):
+def modal_return_flag(spark, sf_dir):
     """Most frequent return flag per part, lowest on a tie."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return modal_value(lines, ["l_partkey"], "l_returnflag", "flag")

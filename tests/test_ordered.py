@@ -32,11 +32,11 @@ def brute(rows, include_current):
         vals = [x[3] for x in seen if x[3] is not None]
         kind = [x[3] for x in seen if x[5] == r[5] and x[3] is not None]
         last3 = [x[3] for x in seen[-3:] if x[3] is not None]
-        last6 = [x[3] for x in seen[-6:] if x[3] is not None]
+        last7 = [x[3] for x in seen[-7:] if x[3] is not None]
         hits = [mine.index(x) + 1 for x in seen if x[4] == 1]
         out[r[2]] = (pos + 1, sum(vals) if vals else None, len(seen), sum(kind) if kind else None,
                      max(hits) if hits else None, vals[-1] if vals else None,
-                     sum(last3) / len(last3) if last3 else None, sum(last6) / len(last6) if last6 else None,
+                     sum(last3) / len(last3) if last3 else None, sum(last7) / len(last7) if last7 else None,
                      mine[pos - 1][1] if pos else None)
     return out
 
@@ -47,12 +47,12 @@ def specs():
         "by_kind": Running("sum", F.col("v"), ("kind",)),
         "last_hit": Running("max", F.when(F.col("hit") == 1, F.col("pos"))),
         "latest": Running("last", F.col("v")),
-        "m": RecentMeans(F.col("v"), (3, 6)),
+        "m": RecentMeans(F.col("v"), (3, 7)),
         "before": Previous(F.col("d")),
     }
 
 
-NAMES = ["pos", "total", "n", "by_kind", "last_hit", "latest", "m3", "m6", "before"]
+NAMES = ["pos", "total", "n", "by_kind", "last_hit", "latest", "m3", "m7", "before"]
 
 
 @pytest.mark.parametrize("include_current", [False, True])
@@ -80,11 +80,6 @@ def test_recent_frames_and_single_group(spark):
         assert got == {i: (sum(range(max(0, i - 3), i)) if i else None) for i in range(30)}
 
 
-def test_recent_means_needs_doubling(spark):
-    with pytest.raises(ValueError):
-        RecentMeans(F.lit(1), (5, 15))
-
-
 @pytest.mark.parametrize("limit", ["1000000", "5"])
 def test_quantiles_and_bins(spark, limit):
     import pandas as pd
