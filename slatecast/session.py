@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 _local_roots: dict[str, str] = {}
+_ending: set[str] = set()
 
 
 def get_session(app: str = "slatecast", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -70,7 +71,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path of this application in the shared folder."""
-    return f"{scratch_root(spark)}/slatecast-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    folder = f"{scratch_root(spark)}/slatecast-{sc.applicationId}"
+    if folder not in _ending:
+        # the file system removes the application's folder when its JVM ends
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _ending.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
