@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecast.llm import licenses, mixing
+from slatecast.llm import licenses, mixing, separators, toxicity, wfst
 from slatecast.llm.common import table
 
+#: Folder of the public vocabularies on every worker.
+TOKENIZERS = os.environ.get("SLATECAST_TOKENIZERS", "/opt/tokenizers")
+#: Fixed value: the id after the last rank of the byte-level vocabulary.
+END_OF_DOCUMENT = 50256
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    learn = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = toxicity.score(docs, toxicity.fit(docs, learn))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and template labels of every document."""
@@ -18,12 +35,27 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, in training order."""
     plan = mixing.curriculum(table(spark, sf_dir, "documents"), keep=["doc_id"])
     rows = plan.select("doc.doc_id", "size", "source_size", "target", "taken", "position", "again")
-    return rows.orderBy(F.col("position").asc_nulls_last())
+    return rows.orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return separators.document_token_counts(spark, docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", END_OF_DOCUMENT)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and whether decoding restores the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wfst.encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_license_scan": op4_license_scan,
     "op6_mixing": op6_mixing,
+    "op8_token_counts": op8_token_counts,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 MIXING_SQL = r"""
