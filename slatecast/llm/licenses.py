@@ -152,6 +152,7 @@ class Scanner:
     def scan(self, text: bytes | None) -> tuple:
         words = words_of(text or b"")
         base, starts, labels, spans = set(), [], set(), []
+        after: dict[str, int] = {}   # stretches of one label don't overlap
         if any(w in text.translate(_BREAKS) for w in self.needed) if text else False:
             for i, word in enumerate(words):
                 if word not in self.opening:
@@ -161,8 +162,9 @@ class Scanner:
                         base.add(label)
                         starts.append(i)
                 for label, automaton in self.by_word.get(word, ()):
-                    end = automaton.end_from(words, i)
+                    end = automaton.end_from(words, i) if i >= after.get(label, 0) else None
                     if end is not None:
+                        after[label] = end
                         labels.add(label)
                         spans.append((label, i, end))
         return len(words), starts, base, labels, spans

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecast.llm import licenses, mixing, separators, toxicity, wfst
+from slatecast.llm import lattice, licenses, mixing, separators, topk, toxicity, wfst
 from slatecast.llm.common import table
 
 #: Folder of the public vocabularies on every worker.
@@ -26,6 +26,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every vector whose id 20 divides."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases and template labels of every document."""
     return licenses.license_report(licenses.scan_licenses(table(spark, sf_dir, "documents")))
@@ -50,12 +55,19 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return lattice.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_topk": op3_topk,
     "op4_license_scan": op4_license_scan,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 MIXING_SQL = r"""
@@ -111,6 +123,20 @@ select doc_id, size, source_size, target, taken,
 from y
 """
 
+TOPK_SQL = """
+with v as (
+  select vec_id, [floor(64 * x::double) for x in embedding] as x from embeddings
+  where vec_id is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score
+  from v q, v c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
+r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
+
 ORACLE_SQL = {
+    "op3_topk": TOPK_SQL,
     "op6_mixing": MIXING_SQL,
 }

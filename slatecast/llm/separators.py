@@ -31,7 +31,7 @@ from slatecast.session import scratch_path
 BLOCK_TOKENS = 1 << 20
 WIDTH = 2
 #: Fixed value: the pattern that goes with the byte-level vocabularies.
-PATTERN = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def tokenizer(ranks_path: str):
@@ -128,4 +128,5 @@ def document_token_counts(spark: SparkSession, docs: DataFrame, ranks_path: str,
     """(doc_id, n_tokens): documents written as flat files, which are then scanned."""
     files, places = write_token_files(docs, ranks_path, separator, **columns)
     counts = count_tokens(files, scratch_path(spark, "tokens"), separator, block)
-    return counts.join(places, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # both sides have a row per document: never broadcast
+    return counts.join(places.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")

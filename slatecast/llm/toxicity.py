@@ -1,6 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word features.
 
-Features are single words, word pairs and pairs that skip a word, hashed to
+Features are single words (and their first bytes), word pairs and pairs that
+skip a word, hashed to
 2^bits coordinates, each counted once a document. Training takes one document
 at a time with a rate per coordinate (alpha / (beta + sqrt of the sum of its
 squared gradients)); the L1 term leaves most weights at exactly zero, so what
@@ -31,8 +32,10 @@ from slatecast.llm.licenses import words_of
 BITS = 20
 MAX_ROWS = 20_000
 MAX_FEATURES = 60_000_000
-_A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-                                        0x27D4EB2F165667C5))
+#: A word is also counted under its first bytes, which inflected and compound forms share.
+STEM = 5
+_A, _B, _C, _D, _E = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                            0x27D4EB2F165667C5, 0x9FB21C651E98DF25))
 
 
 class WordHashes(dict):
@@ -51,13 +54,14 @@ def features(text: bytes | None, hashes: WordHashes, bits: int = BITS) -> np.nda
     """Coordinates of a text, repeats included; 0 is the intercept's and is never hashed to."""
     words = words_of(text or b"")
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    parts = [h * _A, h[:-1] * _B + h[1:] * _C, h[:-2] * _C + h[2:] * _D]
+    stems = np.fromiter(map(hashes.__getitem__, [w[:STEM] for w in words]), np.uint64, len(words))
+    parts = [h * _A, h[:-1] * _B + h[1:] * _C, h[:-2] * _C + h[2:] * _D, stems * _E]
     joined = np.concatenate(parts) * _A
     return np.maximum((joined >> np.uint64(64 - bits)).astype(np.int32), 1)
 
 
 class Ftrl:
-    def __init__(self, size: int, alpha: float = 0.15, beta: float = 1.0, l1: float = 1.5, l2: float = 0.5):
+    def __init__(self, size: int, alpha: float = 2.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(size), np.zeros(size)
 
@@ -78,7 +82,7 @@ class Ftrl:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", doc_id: str = "doc_id",
         bits: int = BITS, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES,
-        epochs: int = 3) -> dict[int, float]:
+        epochs: int = 4) -> dict[int, float]:
     """Non-zero weights by coordinate (0: intercept), at most 2^bits of them."""
     rows = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter(
         "id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
