@@ -7,7 +7,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecast.llm import lattice, licenses, mixing, separators, topk, toxicity, wfst
+from slatecast.llm import (
+    langid,
+    lattice,
+    licenses,
+    line_chunks,
+    mixing,
+    separators,
+    topk,
+    toxicity,
+    wfst,
+)
 from slatecast.llm.common import table
 
 #: Folder of the public vocabularies on every worker.
@@ -16,6 +26,12 @@ TOKENIZERS = os.environ.get("SLATECAST_TOKENIZERS", "/opt/tokenizers")
 END_OF_DOCUMENT = 50256
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that an earlier one has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_chunks.dedup_lines(docs).select("doc.doc_id", "doc.text", "n_lines", "n_removed")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the rows that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +52,26 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and every page.
+
+    A document declares ``lang`` and has its source for a host; a page declares
+    the language of its markup and has the host and suffix of its address.
+    """
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    nothing = F.lit(None).cast("long")
+    host = langid.url_host(F.col("url"))
+    rows = docs.select("doc_id", nothing.alias("page_id"), "text", F.col("lang").alias("declared"),
+                       F.concat(F.lit("source:"), "source").alias("host"), F.lit("source").alias("suffix"))
+    rows = rows.unionByName(pages.select(
+        nothing.alias("doc_id"), "page_id", langid.page_text(F.col("html")).alias("text"),
+        langid.page_language(F.col("html")).alias("declared"), host.alias("host"),
+        langid.host_suffix(host).alias("suffix")))
+    found = langid.identify(rows, langid.fit(docs), rows["text"], rows["declared"], rows["host"], rows["suffix"],
+                            keep=["doc_id", "page_id"])
+    return found.select("doc.doc_id", "doc.page_id", "lang", "confidence", "accepted")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document, in training order."""
     plan = mixing.curriculum(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -61,9 +97,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_topk": op3_topk,
     "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
