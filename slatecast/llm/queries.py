@@ -13,6 +13,7 @@ from slatecast.llm import (
     licenses,
     line_chunks,
     mixing,
+    probminhash,
     separators,
     topk,
     toxicity,
@@ -79,6 +80,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document; its least doc_id is kept."""
+    found = probminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat token files."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -103,6 +110,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_dedup": op10_embedding_dedup,
