@@ -55,7 +55,8 @@ def arrival(share: Column, shape: Column, shapes: Sequence[Sequence[tuple[float,
         for (t0, w0), (t1, w1) in zip(knots, knots[1:]):
             slope, area = (w1 - w0) / (t1 - t0), (w0 + w1) / 2 * (t1 - t0)
             left = share * whole - done
-            at = F.lit(t0) + F.lit(2.0) * left / (F.lit(w0) + F.sqrt(F.lit(w0 * w0) + F.lit(2.0 * slope) * left))
+            rate = F.lit(w0) + F.sqrt(F.lit(w0 * w0) + F.lit(2.0 * slope) * left)
+            at = F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * left, rate), F.lit(0.0))
             pieces.append((done + area, at if w0 or w1 else F.lit(t0)))
             done += area
         for until, at in reversed(pieces):
