@@ -48,7 +48,7 @@ FINAL |= {
         from {{form_now}}""",
     "backtest_daily": """
         select p.*, row_number() over (partition by p.slate_date, p.game_pk, p.batter_id
-                                       order by run_ts desc) = 1 as is_latest,
+                                       order by run_ts desc, model_version desc, p_hit desc) = 1 as is_latest,
                o.has_hit, o.hits, o.pa, o.has_hit is not null as graded
         from {predictions} p
         left join {fct_batter_game} o on o.game_pk = p.game_pk and o.batter_id = p.batter_id""",
@@ -63,4 +63,7 @@ FINAL |= {
 
 
 def statements() -> dict[str, str]:
-    return {name: compose(text, studies.MODELS) for name, text in {**FINAL, **studies.FINAL}.items()}
+    own, small = studies.sized(studies.OWN), studies.sized(studies.SMALL_GROUPS)
+    out = {name: compose(text, own) for name, text in {**FINAL, **studies.FINAL}.items()}
+    out |= {f"{name}_small_groups": compose(studies.FINAL[name], small) for name in studies.SIZED}
+    return out

@@ -7,7 +7,7 @@ from oracle.models import first_per, words
 from slatecast.functions.pitch_flags import PITCH_TYPES
 from slatecast.plans import research as rs
 from slatecast.plans.quality import NOT_NULL, TRUE, UNIQUE
-from slatecast.queries import BVP_PA, CATEGORY_ROWS, DRIFTING, MATRIX_AB, MONTH_ROWS, PARITY
+from slatecast.queries import DRIFTING, FRESHNESS, FRESHNESS_NOW, OWN, PARITY, SMALL_GROUPS
 
 MODELS = dict(BASE)
 
@@ -60,7 +60,7 @@ MODELS["monthly_ic"] = f"""
     with ic as ({rank_ic('{long_factors}', 'factor, season, month', 'value', 'has_hit')})
     select ic.factor, ic.season, ic.month, ic.ic, m.n
     from ic join {{month_sizes}} m using (season, month)
-    where ic.n_pairs >= {MONTH_ROWS} and ic.ic is not null"""
+    where ic.n_pairs >= @month_rows@ and ic.ic is not null"""
 
 
 def binned(source: str, by: str, value: str, bins: int) -> str:
@@ -118,15 +118,15 @@ MODELS["research_frame"] = f"""
     left join {{dim_team}} t on t.team_id = f.opponent_team_id"""
 MODELS["met_pairs"] = f"""
     select 'bvp_hits_per_pa' as factor, season, month, has_hit, round(pa_roll10, 10) as pa_roll10, bvp_hits_per_pa as value
-    from {{research_frame}} where bvp_pa_career >= {BVP_PA} and bvp_hits_per_pa is not null"""
+    from {{research_frame}} where bvp_pa_career >= @bvp_pa@ and bvp_hits_per_pa is not null"""
 MODELS["met_months"] = f"""
     select factor, season, month, ic from ({rank_ic('{met_pairs}', 'factor, season, month', 'value', 'has_hit')})
-    where n_pairs >= 10 and ic is not null"""
+    where n_pairs >= @bvp_month_rows@ and ic is not null"""
 MODELS["met_control"] = "select * from {met_pairs} where pa_roll10 is not null"
 MODELS["met_bands"] = binned("{met_control}", "factor", "pa_roll10", 3)
 MODELS["met_controlled"] = f"""
     with ic as ({rank_ic('(select * from {met_bands} where bin is not null)', 'factor, bin', 'value', 'has_hit')})
-    select factor, if(sum(n_pairs) >= 100, avg(ic), null) as pa_controlled_ic from ic group by factor"""
+    select factor, if(sum(n_pairs) >= @bvp_controlled@, avg(ic), null) as pa_controlled_ic from ic group by factor"""
 MODELS["bvp_study"] = verdicts("('24_bvp', 'bvp_hits_per_pa')", "{met_months}", "{met_controlled}")
 
 MODELS["daily_tiers"] = """
@@ -157,7 +157,7 @@ MODELS["study_categorical"] = f"""
     g as (select key, level, count(*) as n, cast(sum(has_hit) as bigint) as k,
                  avg(has_hit) as rate, cast(sum(hits) as double) / sum(pa) as hits_per_pa,
                  {wilson('sum(has_hit)', 'count(*)')['lo']} as lo, {wilson('sum(has_hit)', 'count(*)')['hi']} as hi
-          from ({_ONE}) where level is not null group by key, level having count(*) >= {CATEGORY_ROWS}),
+          from ({_ONE}) where level is not null group by key, level having count(*) >= @category_rows@),
     r as (select *, count(*) over (partition by key) as levels,
                  row_number() over (partition by key order by rate, level) as low,
                  row_number() over (partition by key order by rate desc, level desc) as high from g)
@@ -169,7 +169,16 @@ MODELS["study_scoreboard"] = """
     select key, factor, verdict, median_ic, sign_stability, n_months, pa_controlled_ic, cast(null as double) as spread
     from {study_continuous}
     union all by name
-    select key, 'CONTEXT' as verdict, max(rate) - min(rate) as spread from {study_categorical} group by key"""
+    select * from {bvp_study}
+    union all by name
+    select key, 'CONTEXT' as verdict, max(rate) - min(rate) as spread from {study_categorical} group by key
+    union all by name
+    select '25_pitch_type' as key, 'pitch_type' as factor, 'CONTEXT' as verdict, max(ba) - min(ba) as spread
+    from {pitchtype_league}
+    union all by name
+    select '26_streak_buckets' as key, 'hit_streak_entering' as factor, 'CONTEXT' as verdict,
+           max(abs(residual)) as spread
+    from {streak_buckets}"""
 MODELS["streak_buckets"] = f"""
     select *, rate - expected as residual from (
         select case when hit_streak_entering >= 10 then '10+' when hit_streak_entering >= 5 then '5-9'
@@ -187,7 +196,7 @@ MODELS["pitchtype_matrix"] = f"""
     select p.player_name, {', '.join(f"avg(t.ba) filter (where t.pitch_type = '{c}') as {c}" for c in PITCH_TYPES)}
     from {{fct_batter_pitchtype}} t join busy using (batter_id)
     join {{dim_player}} p on p.player_id = t.batter_id
-    where t.ab_ended >= {MATRIX_AB} and t.pitch_type in ({words(PITCH_TYPES)}) group by 1"""
+    where t.ab_ended >= @matrix_ab@ and t.pitch_type in ({words(PITCH_TYPES)}) group by 1"""
 
 # ---- evaluation ---------------------------------------------------------------
 
@@ -292,7 +301,7 @@ def _unique(model: str, keys: list[str]) -> str:
 
 _CHECKS = [_unique(m, k) for m, k in UNIQUE.items()] + [_unique("dim_team", ["team_code"])]
 _CHECKS += [f"select 'not_null {m}.{c}', count(*) from {{{m}}} where {c} is null"
-            for m, cols in NOT_NULL.items() if m != "stg_heartbeat" for c in cols]
+            for m, cols in NOT_NULL.items() for c in cols]
 _CHECKS += [f"select 'true {m}: {e}', count(*) from {{{m}}} where not ({e})" for m, es in TRUE.items() for e in es]
 _CHECKS += ["select 'accepted fct_batter_game.has_hit', count(*) from {fct_batter_game} where has_hit not in (0, 1)",
             "select 'no leakage feat_batter_game', count(*) from {leakage}"]
@@ -301,6 +310,7 @@ MODELS["leakage"] = f"""
     where career_pa_prior + career_games_prior + season_pa_prior + hit_streak_entering + hitless_streak_entering <> 0
        or coalesce(has_hit_roll5, hit_per_pa_roll40, k_pct_roll10, hit_per_pa_platoon_roll20) is not null
     union all select batter_id, game_pk, game_date from {{feat_batter_game}} where days_rest < 0"""
+MODELS["stg_heartbeat"] = "select cast(null as timestamp) as run_at where false"   # nothing landed yet
 MODELS["check_suite"] = " union all ".join(_CHECKS)
 
 
@@ -312,11 +322,11 @@ def _fresh(table: str, newest: str, now: str, warn: int, error: int) -> str:
 
 
 MODELS["freshness"] = " union all ".join([
-    _fresh("events", "(select max(ts) from {events})", "2024-02-01 00:00:00", 26, 50),
-    _fresh("pitches", "(select cast(max(game_date) as timestamp) from {raw_pitches})", "2026-05-15 06:00:00", 48, 78),
-    _fresh("games", "(select make_timestamp(max(cast(load_id as bigint)) * 1000000) from {raw_games})",
-           "2023-11-16 00:00:00", 26, 50),
-    _fresh("heartbeat", "cast(null as timestamp)", "2024-02-01 00:00:00", 26, 50)])
+    _fresh(name, {"heartbeat": "cast(null as timestamp)",
+                  "pitches": "(select cast(max(game_date) as timestamp) from {raw_pitches})",
+                  "war_snapshots": "(select max(cast(snapshot_date as timestamp)) from {raw_war_snapshots})"}.get(
+        name, f"(select make_timestamp(max(cast(load_id as bigint)) * 1000000) from {{raw_{name}}})"),
+        FRESHNESS_NOW, *hours) for name, hours in FRESHNESS.items() if hours])
 _WEEK = "cast(date_trunc('week', cast(game_date as date)) as date)"
 MODELS["reconcile"] = f"""
     with a as (select {_WEEK} as wk, count(distinct (game_pk, at_bat_number, pitch_number)) as n from {{raw_pitches}} group by 1),
@@ -434,3 +444,13 @@ FINAL |= {
         select p.game_pk, p.batter_id, p.slate_date, p.p_hit, p.model_version, f.has_hit, f.hits, f.pa
         from {predictions} p join {fct_batter_game} f using (game_pk, batter_id)""",
 }
+
+# group-size thresholds are written @so@ above
+SIZED = ["monthly_ic", "study_continuous", "bvp_study", "study_categorical", "study_scoreboard", "pitchtype_matrix"]
+
+
+def sized(sizes: dict[str, int]) -> dict[str, str]:
+    out = MODELS
+    for name, value in sizes.items():
+        out = {n: t.replace(f"@{name}@", str(value)) for n, t in out.items()}
+    return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from slatecast.functions.rates import at_least_one, clip
 from slatecast.operators.ranks import quantiles
 from slatecast.plans import evaluation as ev
-from slatecast.session import store
+from slatecast.session import scratch_path, store
 
 # Feature lists of the four models.
 FEATURES: dict[str, list[str]] = {
@@ -63,11 +63,12 @@ class Params:
     tail_days: int = 60
     half_life_days: int = 730
     c: float = 1.0
-    gbt_rounds: int = 200         # depth-wise trees: fewer, not leaf-wise 2000
+    gbt_rounds: int = 2000        # at most; patience ends them
+    gbt_patience: int = 100
     gbt_step: float = 0.03
     gbt_depth: int = 6
     gbt_min_rows: int = 100
-    epa_rounds: int = 100
+    epa_rounds: int = 400
     epa_step: float = 0.05
     epa_depth: int = 5
     epa_min_rows: int = 200
@@ -163,7 +164,7 @@ def fit_logistic(df: DataFrame, cols: Sequence[str], y: str, w: str, c: float =
     scaler = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True)
     total = df.agg(F.sum(w)).first()[0]
     logistic = LogisticRegression(featuresCol="_s", labelCol=y, weightCol=w, standardization=False,
-                                  regParam=1.0 / (c * total), elasticNetParam=0.0, maxIter=200, tol=1e-8,
+                                  regParam=1.0 / (c * total), elasticNetParam=0.0, maxIter=2000, tol=1e-8,
                                   probabilityCol="_prob", rawPredictionCol="_raw", predictionCol="_label")
     assembled = assembler.transform(filler.transform(df)).select("_v", y, w)
     scaling = scaler.fit(assembled)
@@ -202,19 +203,51 @@ def fit_epa(df: DataFrame, cols: Sequence[str], w: str, params: Params) -> Fitte
     return Fitted(PipelineModel([filler, assembler, trees.fit(ready)]), "regressor")
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest loss before ``patience`` rounds without a gain, and whether patience ran out."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit_gbt(fit: DataFrame, tail: DataFrame, cols: Sequence[str], w: str, params: Params) -> Fitted:
-    """Direct boosted classifier; rounds stop when the held-out tail stops gaining."""
+    """Direct boosted classifier; rounds stop when the held-out tail stops gaining.
+
+    MLlib itself stops at the first round that gains too little. Here whole
+    runs of growing length are fitted, their loss on the tail is read round by
+    round (one number each), and the run is repeated up to the best round: the
+    same seed grows the same first trees.
+    """
     filler, assembler = _tree_inputs(fit, cols)
-    both = fit.withColumn("_held", F.lit(False)).unionByName(
-        tail.withColumns({w: F.lit(1.0), "_held": F.lit(True)}))
-    trees = GBTClassifier(featuresCol="_v", labelCol="has_hit", weightCol=w, validationIndicatorCol="_held",
-                          maxIter=params.gbt_rounds, stepSize=params.gbt_step, maxDepth=params.gbt_depth,
-                          minInstancesPerNode=params.gbt_min_rows, subsamplingRate=0.8,
-                          featureSubsetStrategy="0.8", seed=params.seed,
-                          predictionCol="_label").setProbabilityCol("_prob").setRawPredictionCol("_raw")
-    ready = assembler.transform(filler.transform(both)).select(
-        "_v", F.col("has_hit").cast("double").alias("has_hit"), w, "_held")
-    return Fitted(PipelineModel([filler, assembler, trees.fit(ready)]), "classifier")
+    spark = fit.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:     # long runs cut their lineage there
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))
+
+    def ready(df: DataFrame, name: str) -> DataFrame:
+        return store(assembler.transform(filler.transform(df)).select(
+            "_v", F.col("has_hit").cast("double").alias("has_hit"), F.col(w).cast("double").alias(w)), name)
+
+    learn, held = ready(fit, "boost-fit"), ready(tail.withColumn(w, F.lit(1.0)), "boost-tail")
+    trees = GBTClassifier(featuresCol="_v", labelCol="has_hit", weightCol=w, stepSize=params.gbt_step,
+                          maxDepth=params.gbt_depth, minInstancesPerNode=params.gbt_min_rows, subsamplingRate=0.8,
+                          featureSubsetStrategy="0.8", seed=params.seed, predictionCol="_label") \
+        .setProbabilityCol("_prob").setRawPredictionCol("_raw")
+    if held.isEmpty():
+        return Fitted(PipelineModel([filler, assembler, trees.setMaxIter(params.gbt_rounds).fit(learn)]), "classifier")
+    rounds = min(params.gbt_rounds, params.gbt_patience + 20)
+    while True:
+        model = trees.setMaxIter(rounds).fit(learn)
+        best, over = best_round(model.evaluateEachIteration(held), params.gbt_patience)
+        if over or rounds >= params.gbt_rounds:
+            break
+        rounds = min(params.gbt_rounds, 2 * rounds)
+    if best < rounds:
+        model = trees.setMaxIter(best).fit(learn)
+    return Fitted(PipelineModel([filler, assembler, model]), "classifier")
 
 
 def compose_structural(p_pa: Column | str, e_pa: Column | str) -> Column:
@@ -268,6 +301,20 @@ class Training:
     winner_name: str
     failures: list[str]
 
+    def export(self, spark: SparkSession, root: str, exported_at: str) -> int:
+        """Make the winner the production version; refused when a gate fails."""
+        enforce(self.failures)
+        return save_model(spark, self.winner, root, exported_at)
+
+
+class GateFailed(Exception):
+    pass
+
+
+def enforce(failures: Sequence[str]) -> None:
+    if failures:
+        raise GateFailed("; ".join(failures))
+
 
 BASELINE = "eb_pa"
 
@@ -400,9 +447,9 @@ class Backtest:
     failures: list[str]
 
 
-def backtest(model: HitModel, frame: DataFrame, params: Params = Params()) -> Backtest:
+def backtest(model: HitModel, frame: DataFrame, params: Params = Params(), gated: bool = False) -> Backtest:
     """Score the test seasons once (features are point-in-time, the model is
-    frozen) and compare with the naive pickers."""
+    frozen) and compare with the naive pickers; ``gated`` raises on a failed gate."""
     test = temporal_splits(prepare(frame), params).test
     if test.isEmpty():
         raise ValueError("no test-season rows")
@@ -411,6 +458,9 @@ def backtest(model: HitModel, frame: DataFrame, params: Params = Params()) -> Ba
                                  "eb_hit_per_pa_career", "p_model", "ba_bench", "eb_bench", "eb_pa"), "backtest")
     buckets = store(ev.calibration_buckets(scored, "p_model"), "buckets")
     pickers = store(ev.picker_table(scored), "pickers")
+    failures = ev.backtest_gates(buckets, pickers)
+    if gated:
+        enforce(failures)
     return Backtest(ev.metric_rows(scored, {"model": "p_model", "eb_pa": "eb_pa"}), buckets, pickers,
                     ev.picker_curve(scored), ev.slice_table(scored, "p_model"),
-                    ev.backtest_gates(buckets, pickers))
+                    failures)

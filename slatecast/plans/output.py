@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -12,15 +13,17 @@ PREDICTION = ["slate_date", "game_pk", "batter_id"]
 def backtest_daily(predictions: DataFrame, batter_games: DataFrame) -> DataFrame:
     """Every logged prediction with its outcome and whether it is the last run.
 
-    The last run per (slate, game, batter) is a grouped maximum joined back,
-    not a window, so a prediction that was re-run without end is no hot group.
+    Exactly one row of each (slate, game, batter) is the last, also where keys
+    are NULL or runs share a time; a key holds one row per scoring run.
     """
     outcomes = batter_games.select("game_pk", "batter_id", "has_hit", "hits", "pa")
-    newest = predictions.groupBy(*PREDICTION).agg(F.max("run_ts").alias("_newest"))
-    return (predictions.join(newest, PREDICTION).join(outcomes, ["game_pk", "batter_id"], "left")
+    runs = W.partitionBy(*PREDICTION).orderBy(F.col("run_ts").desc_nulls_last(), F.col("model_version").desc_nulls_last(),
+                                              F.col("p_hit").desc_nulls_last())
+    marked = predictions.withColumn("_run", F.row_number().over(runs))
+    return (marked.join(outcomes, ["game_pk", "batter_id"], "left")
             .select("run_ts", "slate_date", "game_pk", "batter_id", "player_name", "team_id",
                     "opponent_team_id", "batting_order_slot", "lineup_confirmed", "opp_starter_id",
-                    "p_hit", "model_version", (F.col("run_ts") == F.col("_newest")).alias("is_latest"),
+                    "p_hit", "model_version", (F.col("_run") == 1).alias("is_latest"),
                     "has_hit", "hits", "pa", F.col("has_hit").isNotNull().alias("graded")))
 
 

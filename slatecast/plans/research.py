@@ -220,12 +220,12 @@ def ordered_levels(table: DataFrame, orders: Mapping[str, Sequence]) -> DataFram
 
 def ends(table: DataFrame, key: str, k: int) -> DataFrame:
     """Lowest and highest k levels of one study, or all when there are at most 2k."""
-    mine = store(table.filter(F.col("key") == key), "levels")
-    if len(mine.select("level").take(2 * k + 1)) <= 2 * k:
-        return mine
-    low = mine.orderBy("rate", "level").limit(k)
-    high = mine.orderBy(F.col("rate").desc(), F.col("level").desc()).limit(k)
-    return low.unionByName(high)
+    study = W.partitionBy("key")
+    ranked = table.filter(F.col("key") == key).withColumns({
+        "_low": F.row_number().over(study.orderBy("rate", "level")),
+        "_high": F.row_number().over(study.orderBy(F.desc("rate"), F.desc("level"))),
+        "_levels": F.count(F.lit(1)).over(study)})
+    return ranked.filter(f"_levels <= {2 * k} or _low <= {k} or _high <= {k}").drop("_low", "_high", "_levels")
 
 
 def study_categorical(df: DataFrame, min_rows: int = MIN_CATEGORY_ROWS) -> DataFrame:
@@ -307,9 +307,27 @@ def pitchtype_matrix(pitchtypes: DataFrame, players: DataFrame, top: int = 25,
 _CLASS = ["PROMOTE", "WEAK", "REJECT", "CONTEXT", "NO-DATA"]
 
 
-def scoreboard(continuous: DataFrame, spreads: DataFrame) -> DataFrame:
-    """All study rows, by verdict class and then by strength of the median IC."""
-    context = spreads.select("key", F.lit("CONTEXT").alias("verdict"), F.col("spread"))
-    rows = continuous.unionByName(context, allowMissingColumns=True)
+def pitchtype_context(league: DataFrame) -> DataFrame:
+    """Scoreboard row of the pitch-type study: spread of the league averages."""
+    return league.agg((F.max("ba") - F.min("ba")).alias("spread")).select(
+        F.lit("25_pitch_type").alias("key"), F.lit("pitch_type").alias("factor"), "spread")
+
+
+def streak_context(buckets: DataFrame) -> DataFrame:
+    """Scoreboard row of the hot-hand test: largest gap to what quality and PA predict."""
+    return buckets.agg(F.max(F.abs("residual")).alias("spread")).select(
+        F.lit("26_streak_buckets").alias("key"), F.lit("hit_streak_entering").alias("factor"), "spread")
+
+
+def scoreboard(judged: Sequence[DataFrame], context: Sequence[DataFrame]) -> DataFrame:
+    """All study rows, by verdict class and then by strength of the median IC.
+
+    ``judged`` studies carry a verdict, ``context`` studies (key, spread) don't.
+    """
+    rows = judged[0]
+    for more in judged[1:]:
+        rows = rows.unionByName(more)
+    for more in context:
+        rows = rows.unionByName(more.withColumn("verdict", F.lit("CONTEXT")).drop("groups"), allowMissingColumns=True)
     place = F.array_position(F.array(*[F.lit(c) for c in _CLASS]), F.col("verdict"))
     return rows.orderBy(place, F.abs("median_ic").desc_nulls_last(), "key")

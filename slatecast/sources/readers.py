@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,13 +35,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         value = F.col(field.name)
+        given = df.schema[field.name].dataType
         if isinstance(field.dataType, (T.LongType, T.IntegerType)):
-            # whole numbers may arrive as "5.0" text
-            value = value.cast("string").try_cast("double")
-            value = F.when(~F.isnan(value), value).try_cast(field.dataType)
+            if isinstance(given, T.IntegralType):
+                value = value.try_cast(field.dataType)
+            elif isinstance(given, T.FractionalType):
+                value = F.when(~F.isnan(value.cast("double")), value).try_cast(field.dataType)
+            else:
+                # whole numbers may arrive as "5.0" text; plain ones stay exact
+                text = value.cast("string")
+                number = text.try_cast("double")
+                value = F.coalesce(text.try_cast(field.dataType),
+                                   F.when(~F.isnan(number), number).try_cast(field.dataType))
         elif isinstance(field.dataType, T.DoubleType):
-            value = value.cast("string").try_cast("double")
-            value = F.when(~F.isnan(value), value)
+            number = value.try_cast("double") if isinstance(given, T.NumericType) \
+                else value.cast("string").try_cast("double")
+            value = F.when(~F.isnan(number), number)
         elif isinstance(field.dataType, T.StringType):
             value = value.cast("string")
         else:
@@ -49,13 +59,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def load_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders at or below ``path`` that hold Parquet files (names only; no file is opened)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True) \
+        .option("pathGlobFilter", "*.parquet").load(path)
+    folders = files.select(F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct().collect()
+    return sorted(r["folder"] for r in folders) or [path]
+
+
 def read_pitches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Pitch files with the kept columns and pinned types, whatever each file carries."""
     if fmt == "csv":
         raw = spark.read.option("header", True).csv(path)   # all text, typed below
+        typed = conform(raw, RAW["pitches"])
     else:
-        raw = spark.read.option("mergeSchema", True).parquet(path)
-    typed = conform(raw, RAW["pitches"])
+        # files of one load agree; loads may not, so each folder has its own types
+        loads = [conform(spark.read.parquet(folder), RAW["pitches"]) for folder in load_folders(spark, path)]
+        typed = reduce(DataFrame.unionByName, loads)
     return typed.withColumn("game_date", F.date_format(F.col("game_date").try_cast("timestamp"), "yyyy-MM-dd"))
 
 

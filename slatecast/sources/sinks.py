@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slatecast.schemas import DATE_COLUMN, RAW
 from slatecast.sources.readers import conform, table_or_empty
@@ -83,17 +85,38 @@ def incremental_slice(landed: DataFrame, target: DataFrame, date: str, today: st
     """Landed rows from the target's newest date (inclusive, so a part-loaded
     day completes) to yesterday, at most ``cap_days`` further on."""
     newest = target.agg(F.max(F.to_date(date))).first()[0]   # one value
-    start = F.lit(str(newest or default_start)).cast("date")
-    end = F.least(F.date_sub(F.lit(today).cast("date"), 1), F.date_add(start, cap_days))
-    day = F.to_date(date)
-    return landed.filter((day >= start) & (day <= end))
+    start = dt.date.fromisoformat(str(newest or default_start))
+    end = min(dt.date.fromisoformat(str(today)) - dt.timedelta(1), start + dt.timedelta(cap_days))
+    return between_days(landed, date, start, end)
+
+
+def between_days(landed: DataFrame, date: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows from start to end; literal bounds reach the scan and prune season folders."""
+    if isinstance(landed.schema[date].dataType, T.StringType):
+        # ISO text (a time part after it or not) sorts as its date
+        rows = landed.filter((F.col(date) >= str(start)) & (F.col(date) < str(end + dt.timedelta(1))))
+    else:
+        rows = landed.filter((F.to_date(date) >= F.lit(start)) & (F.to_date(date) <= F.lit(end)))
+    if "load_season" in landed.columns:
+        rows = rows.filter(F.col("load_season").between(start.year, end.year))
+    return rows
+
+
+def segments(start: dt.date, end: dt.date, days: int = 28) -> list[tuple[dt.date, dt.date]]:
+    """Slices of a catch-up load, oldest first; each is loaded and committed by itself."""
+    out = []
+    while start <= end:
+        last = min(end, start + dt.timedelta(days - 1))
+        out.append((start, last))
+        start = last + dt.timedelta(1)
+    return out
 
 
 def reload_window(landed: DataFrame, date: str, today: str, back: int, ahead: int) -> DataFrame:
     """Rows of a small window around today; appended again on every run and
     made harmless by latest-wins staging."""
-    day, now = F.to_date(date), F.lit(today).cast("date")
-    return landed.filter((day >= F.date_sub(now, back)) & (day <= F.date_add(now, ahead)))
+    now = dt.date.fromisoformat(str(today))
+    return between_days(landed, date, now - dt.timedelta(back), now + dt.timedelta(ahead))
 
 
 def coverage(spark: SparkSession, tables: Mapping[str, DataFrame | None],

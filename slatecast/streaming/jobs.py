@@ -104,7 +104,12 @@ def latest_stream(rows: DataFrame, table: VersionedTable, keys: Sequence[str], o
     return query
 
 
-def grade_stream(outcomes: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Arriving outcomes joined to the logged predictions they grade."""
-    graded = outcomes.select("game_pk", "batter_id", "has_hit", "hits", "pa")
+def grade_stream(outcomes: DataFrame, predictions: DataFrame, event_time: str | None = None) -> DataFrame:
+    """Arriving outcomes joined to the logged predictions they grade.
+
+    An outcome that lands again (overlapping reloads) grades once; with an
+    event time the state forgets outcomes older than the watermark.
+    """
+    once = dedup_stream(outcomes, ["game_pk", "batter_id"], event_time)
+    graded = once.select("game_pk", "batter_id", "has_hit", "hits", "pa")
     return graded.join(predictions, ["game_pk", "batter_id"])
