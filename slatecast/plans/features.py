@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -97,18 +97,41 @@ FEATURES = [*COUNTS, "days_rest", "league_hit_per_pa_entering", "eb_hit_per_pa_c
             "war_prev_season", "pa_prev_season"]
 
 
+def prior_seasons(war: DataFrame) -> DataFrame:
+    """All prior-season totals of a batter in one row (a career has few seasons)."""
+    each = F.struct("season", "war_prev_season", "pa_prev_season")
+    return prior_season(war).groupBy("batter_id").agg(F.collect_list(each).alias("_seasons"))
+
+
+def game_context(pitcher_rolling: DataFrame, team_rolling: DataFrame, league_daily: DataFrame) -> DataFrame:
+    """One row per game: the form of its starters and of its teams (two each), and the league's."""
+    starters = F.struct("pitcher_id", *PITCHER_COLUMNS)
+    teams = F.struct("team_id", *OFFENSE, *DEFENSE.values())
+    pitching = pitcher_rolling.groupBy("game_pk").agg(F.collect_list(starters).alias("_starters"))
+    dated = team_rolling.join(league_entering(league_daily), "game_date", "left")
+    sides = dated.groupBy("game_pk").agg(F.collect_list(teams).alias("_teams"),
+                                         F.max("league_hit_per_pa_entering").alias("league_hit_per_pa_entering"))
+    return pitching.join(sides, "game_pk", "full")
+
+
 def join_context(batter_games: DataFrame, league_daily: DataFrame, pitcher_rolling: DataFrame,
                  team_rolling: DataFrame, war: DataFrame) -> DataFrame:
-    """Opposing starter, own offense, opposing defense, league and prior season."""
-    starter = pitcher_rolling.withColumnRenamed("pitcher_id", "opp_starter_id").drop("game_date")
-    offense = team_rolling.select("game_pk", "team_id", *OFFENSE)
-    defense = team_rolling.select("game_pk", F.col("team_id").alias("opponent_team_id"),
-                                  *[F.col(c).alias(n) for n, c in DEFENSE.items()])
-    return (batter_games.join(starter, ["game_pk", "opp_starter_id"], "left")
-            .join(offense, ["game_pk", "team_id"], "left")
-            .join(defense, ["game_pk", "opponent_team_id"], "left")
-            .join(prior_season(war), ["batter_id", "season"], "left")
-            .join(league_entering(league_daily), "game_date", "left"))
+    """Opposing starter, own offense, opposing defense, league and prior season.
+
+    The fact moves twice only: to its game's context row, and to its batter,
+    where the history windows need it anyway.
+    """
+    def first(column: str, key: str, value: str) -> Column:
+        return F.get(F.filter(column, lambda x: x[key] == F.col(value)), F.lit(0))
+
+    starter, own, other = (first("_starters", "pitcher_id", "opp_starter_id"), first("_teams", "team_id", "team_id"),
+                           first("_teams", "team_id", "opponent_team_id"))
+    season = first("_seasons", "season", "season")
+    rows = batter_games.join(game_context(pitcher_rolling, team_rolling, league_daily), "game_pk", "left")
+    rows = rows.withColumns({**{c: starter[c] for c in PITCHER_COLUMNS}, **{c: own[c] for c in OFFENSE},
+                             **{n: other[c] for n, c in DEFENSE.items()}}).drop("_starters", "_teams")
+    rows = rows.join(prior_seasons(war), "batter_id", "left")
+    return rows.withColumns({c: season[c] for c in ("war_prev_season", "pa_prev_season")}).drop("_seasons")
 
 
 JOINED = [*PITCHER_COLUMNS, *OFFENSE, *DEFENSE, "war_prev_season", "pa_prev_season",

@@ -88,11 +88,14 @@ def int_batter_game_platoon(by_hand: DataFrame) -> DataFrame:
 def int_game_starters(pitches: DataFrame) -> DataFrame:
     """Thrower of the first pitch of each half; the home side pitches the top.
 
-    ``min`` over a struct combines before the shuffle, so a game of any size
-    sends one row per task.
+    All pitches meet a hash aggregate per thrower (numbers only inside it);
+    the few throwers of a half are then compared.
     """
-    first = F.min(F.struct("at_bat_number", "pitch_number", "game_date", "pitcher_id", "p_throws"))
-    halves = pitches.groupBy("game_pk", "inning_topbot").agg(first.alias("f"))
+    number = F.col("at_bat_number").cast("long") * (1 << 20) + F.col("pitch_number").cast("long")
+    throwers = pitches.groupBy("game_pk", "inning_topbot", "pitcher_id", "p_throws").agg(
+        F.min(number).alias("_first"), F.min("game_date").alias("game_date"))
+    first = F.min(F.struct("_first", "game_date", "pitcher_id", "p_throws"))
+    halves = throwers.groupBy("game_pk", "inning_topbot").agg(first.alias("f"))
     return halves.select(
         "game_pk", F.col("f.game_date").alias("game_date"),
         F.when(F.col("inning_topbot") == "Top", "home").otherwise("away").alias("pitching_side"),

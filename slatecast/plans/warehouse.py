@@ -7,6 +7,7 @@ when first needed and read back by everything above them.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +17,10 @@ from slatecast.plans import features, intermediate, marts, slate, staging
 from slatecast.session import store
 from slatecast.sources.readers import empty
 
-# read by several models each, so written once
-TABLES = ("stg_pitches", "batter_game_by_hand", "fct_batter_game", "fct_pitcher_game", "fct_team_game")
+# read by several models each, or small and joined to a fact: written once, so
+# that the planner knows their size
+TABLES = ("stg_pitches", "batter_game_by_hand", "fct_batter_game", "fct_pitcher_game", "fct_team_game",
+          "int_league_daily", "dim_manager")
 
 
 class Warehouse:
@@ -40,7 +43,16 @@ class Warehouse:
             self._built[name] = store(df, name) if name in self._tables else df
         return self._built[name]
 
+    def together(self, *names: str) -> list[DataFrame]:
+        """Independent models, built at the same time on top of the staged pitches."""
+        if any(n not in self._built for n in names):
+            self.stg_pitches   # shared by all of them
+            with ThreadPoolExecutor(len(names)) as pool:
+                list(pool.map(lambda n: getattr(self, n), names))
+        return [getattr(self, n) for n in names]
+
     def feat_slate(self, date: str) -> DataFrame:
+        self.together("fct_batter_game", "fct_pitcher_game", "fct_team_game")
         return slate.feat_slate(self.dim_game, self.stg_lineups, self.fct_batter_game,
                                 self.fct_pitcher_game, self.fct_team_game, self.fct_standings_daily,
                                 self.stg_war_seasons, self.dim_player, date)
@@ -76,9 +88,9 @@ _BUILDERS = {
     "fct_team_game": lambda w: marts.fct_team_game(w.stg_batting_lines, w.int_pitch_flags, w.dim_team),
     "fct_batter_vs_pitcher": lambda w: marts.fct_batter_vs_pitcher(w.int_pitch_flags),
     "fct_batter_pitchtype": lambda w: marts.fct_batter_pitchtype(w.int_pitch_flags),
-    "feat_batter_game": lambda w: features.feat_batter_game(
-        w.fct_batter_game, w.int_league_daily, w.int_pitcher_rolling, w.int_team_rolling,
-        w.stg_war_seasons),
+    "feat_batter_game": lambda w: w.together("fct_batter_game", "fct_pitcher_game", "fct_team_game")
+    and features.feat_batter_game(w.fct_batter_game, w.int_league_daily, w.int_pitcher_rolling, w.int_team_rolling,
+                                  w.stg_war_seasons),
 }
 
 

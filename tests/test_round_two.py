@@ -104,3 +104,34 @@ def test_one_latest_run_also_with_nulls_and_ties(spark):
     got = output.backtest_daily(spark.createDataFrame(rows, schema), games).collect()
     assert len(got) == 5
     assert sorted((str(r.game_pk), r.model_version) for r in got if r.is_latest) == [("1", "v2"), ("5", "v1"), ("None", "v1")]
+
+
+def test_fact_moves_twice_in_the_feature_plan(spark, warehouse):
+    """Without broadcasts: once to its game, once to its batter."""
+    from slatecast.plans import features
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        context = features.join_context(warehouse.fct_batter_game, warehouse.int_league_daily,
+                                        warehouse.int_pitcher_rolling, warehouse.int_team_rolling,
+                                        warehouse.stg_war_seasons)
+        plan = context._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("\n")
+    depth = [next((i for i, c in enumerate(line) if c.isalpha()), 0) for line in lines]
+    moved = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = [lines[j] for j in range(i + 1, next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines)))]
+            if any("FileScan" in x and "player_name" in x for x in below):    # a column of the fact alone
+                moved.append(line[line.index("(") + 1:line.index("#")])
+    assert moved == ["batter_id", "game_pk"]
+
+
+def test_starters_meet_pitches_in_a_hash_aggregate(spark, warehouse):
+    from slatecast.plans.intermediate import int_game_starters
+
+    plan = int_game_starters(warehouse.stg_pitches)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("FileScan") - 600:]
+    assert "HashAggregate(keys=[game_pk" in below and "SortAggregate" not in below
