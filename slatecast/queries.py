@@ -514,3 +514,8 @@ def supplier_wilson(spark, sf_dir):
     lo, hi = wilson("k", "n")
     return rounded(g.select("l_suppkey", "n", "k", lo.alias("lo"), hi.alias("hi"),
                             eb_shrink("k", "n", F.lit(0.25)).alias("shrunk")))
+
+
+from slatecast import plane_queries  # noqa: E402  (reads the helpers above)
+
+QUERIES.update(plane_queries.QUERIES)
