@@ -2,38 +2,45 @@
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatecast.session import store
 
-__all__ = ["batches", "hash60", "packed", "store", "table", "text_hash128"]
+__all__ = ["hash60", "runs", "store", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def packed(df: DataFrame, *cols: Column) -> DataFrame:
-    """The whole row as one struct ``doc`` beside working columns.
-
-    Working names can then never clash with columns of the caller; ``doc.*``
-    gives the row back unchanged.
-    """
-    return df.select(F.struct(*[df[c] for c in df.columns]).alias("doc"), *cols)
-
-
 def hash60(col: Column) -> Column:
     """The first 60 bits of MD5 as a long: the same in every engine and run."""
     return F.conv(F.substring(F.md5(col), 1, 15), 16, 10).cast("long")
 
 
-def text_hash128(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
-
+def runs(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Rows with equal values in the first ``keys`` columns, of batches sorted by them.
 
-def batches(values: list, size: int):
-    for i in range(0, len(values), size):
-        yield values[i:i + size]
+    Only one group is held at a time, so groups must be of bounded size.
+    """
+    held: list[pa.RecordBatch] = []
+    last = None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        columns = [part.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        for a, b in zip([0, *change], [*change, part.num_rows]):
+            now = tuple(c[a] for c in columns)
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = now
+            held.append(part.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

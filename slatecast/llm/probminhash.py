@@ -12,9 +12,11 @@ bucket, and pairs are verified on their texts by the exact probability Jaccard
 similarity. Documents with the same words are one class from the start. In a
 bucket every class is first compared with the least one only (a star, as many
 pairs as members); links are joined into components, and only buckets that then
-still hold several components go on: classes of different components there are
-compared with each other. Pairs inside one component need no comparison, as
-they can't change the result.
+still hold several components go on: there, classes of different components are
+compared with each other inside tasks, from their shingle hashes, and only the
+links that join two components leave the task. Pairs inside one component need
+no comparison, as they can't change the result. Buckets of any size are cut into
+blocks, every block against every other.
 
 Defined cases: words are runs of letters and digits, lower-cased; a text of
 fewer words than a shingle is one shingle; a text without words (null, empty)
@@ -35,10 +37,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.llm.common import store
+from slatecast.llm.common import runs, store
 from slatecast.llm.components import components
 
-WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
+WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 40, 8, 2048
 _WORD = re.compile(r"\w+")
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _MULT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
@@ -171,6 +173,95 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Da
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
+def _close(i: int, j: np.ndarray, sets: list, totals: np.ndarray, mark: np.ndarray, least: float) -> np.ndarray:
+    """Which of the sets ``j`` have similarity ``least`` or more with set ``i``.
+
+    A common element adds at most min(a / sum of a, b / sum of b) to the exact
+    similarity, which bounds it; sets without repeats need no more than counts.
+    """
+    own, own_n = sets[i]
+    mark[own] = own_n
+    lengths = np.array([len(sets[k][0]) for k in j])
+    flat, flat_n = np.concatenate([sets[k][0] for k in j]), np.concatenate([sets[k][1] for k in j])
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    a = mark[flat]
+    common_a = np.add.reduceat(a, starts)
+    common_b = np.add.reduceat(np.where(a > 0, flat_n, 0), starts)
+    mark[own] = 0
+    near = np.minimum(common_a / totals[i], common_b / totals[j]) >= least - 1e-12
+    plain = (totals[i] == len(own)) & (totals[j] == lengths)
+    exact = common_a / (totals[i] + totals[j] - common_a) >= least
+    out = near & plain & exact
+    mine = dict(zip(own.tolist(), own_n.tolist()))
+    for k in np.flatnonzero(near & ~plain):
+        out[k] = similarity(mine, dict(zip(sets[j[k]][0].tolist(), sets[j[k]][1].tolist()))) >= least
+    return out
+
+
+def _joining_links(table: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links between different components of one block pair, no more than join them."""
+    ids, roots = table.column("id").to_numpy(), table.column("root").to_numpy()
+    inside = table.column("s")[0].as_py() == table.column("v")[0].as_py()
+    here = table.column("block").to_numpy() == table.column("s")[0].as_py()
+    label = np.unique(roots, return_inverse=True)[1]
+    if not label.any():
+        return []
+    hashes = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    counts = [np.frombuffer(x, np.int32) for x in table.column("counts").to_pylist()]
+    names, flat = np.unique(np.concatenate(hashes), return_inverse=True)
+    sets = list(zip(np.split(flat, np.cumsum([len(h) for h in hashes])[:-1]), counts))
+    totals = np.array([float(c.sum()) for c in counts])
+    sizes = np.array([len(c) for c in counts])
+    mark, found = np.zeros(len(names)), []
+    for i in range(len(ids)):
+        if not inside and not here[i]:
+            continue
+        others = np.arange(len(ids)) > i if inside else ~here
+        j = np.flatnonzero(others & (label != label[i]) & (np.minimum(sizes, sizes[i]) > 0))
+        for at in range(0, len(j), 512):
+            part = j[at:at + 512]
+            for k in part[_close(i, part, sets, totals, mark, least)]:
+                if label[k] != label[i]:
+                    found.append((int(ids[i]), int(ids[k])))
+                    label[label == label[k]] = label[i]
+    return found
+
+
+def open_bucket_links(apart: DataFrame, texts: DataFrame, least: float, size: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between components that share a bucket; ``apart`` is (key, n, id, root)."""
+    def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for whole in parts:
+            for at in range(0, whole.num_rows, 500):
+                part = whole.slice(at, 500)
+                found = [shingles(words(t), hashes, size) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([e.tobytes() for e, _ in found], pa.binary()),
+                     pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary())],
+                    names=["id", "shingles", "counts"])
+
+    wanted = apart.select("id").distinct()
+    details = store(texts.join(wanted, "id").select("id", "text").mapInArrow(
+        sets, "id long, shingles binary, counts binary").dropDuplicates(["id"]), "shingle-sets")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    placed = apart.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    spots = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as s, greatest(block, j) as v))")
+    placed = placed.select("key", "id", "root", "block", F.explode(spots).alias("spot"))
+    placed = placed.select("key", "spot.s", "spot.v", "id", "root", "block").join(details, "id")
+    placed = placed.select("key", "s", "v", "id", "root", "block", "shingles", "counts") \
+        .repartition("key", "s", "v").sortWithinPartitions("key", "s", "v", "id")
+
+    def linked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(parts, 3):
+            found = _joining_links(group, least) if group.num_rows > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found]), pa.array([f[1] for f in found])],
+                                                 names=["a", "b"])
+
+    return placed.mapInArrow(linked, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                     size: int = WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, class_id) for every distinct doc_id; class_id is the least doc_id of its group."""
@@ -210,13 +301,10 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     # what stars left apart: classes of different components that share a bucket
     named = shared.select("key", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "key", "id", F.coalesce("root", "id").alias("root"))
-    open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
-    apart = store(named.join(open_keys.select("key"), "key"), "open-buckets")
-    a, b = apart.select("key", F.col("id").alias("a"), F.col("root").alias("ra")), \
-        apart.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
-    rest = a.join(b, "key").filter("a < b and ra <> rb").select("a", "b").distinct()
-    rest = store(rest.join(stars, ["a", "b"], "left_anti"), "candidates")
-    more = store(_verified(rest, source, least, size), "document-links")
+    open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                         F.count("*").alias("n")).filter("lo < hi")
+    apart = store(named.join(open_keys.select("key", "n"), "key"), "open-buckets")
+    more = store(open_bucket_links(apart, source, least, size), "document-links")
     roots = components(links.unionByName(more))
 
     label = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
