@@ -193,13 +193,21 @@ def _tree_inputs(df: DataFrame, cols: Sequence[str]) -> tuple[SQLTransformer, Ve
     return filler, VectorAssembler(inputCols=names, outputCol="_v")
 
 
+def checkpointed(spark: SparkSession) -> None:
+    """Boosting cuts the lineage of its residuals in the checkpoint folder every few rounds."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))
+
+
 def fit_epa(df: DataFrame, cols: Sequence[str], w: str, params: Params) -> Fitted:
     """Expected plate appearances by boosted regression trees."""
     filler, assembler = _tree_inputs(df, cols)
+    checkpointed(df.sparkSession)
     trees = GBTRegressor(featuresCol="_v", labelCol="pa", weightCol=w, predictionCol="_pred",
                          maxIter=params.epa_rounds, stepSize=params.epa_step, maxDepth=params.epa_depth,
                          minInstancesPerNode=params.epa_min_rows, seed=params.seed)
-    ready = assembler.transform(filler.transform(df)).select("_v", F.col("pa").cast("double").alias("pa"), w)
+    ready = store(assembler.transform(filler.transform(df)).select(
+        "_v", F.col("pa").cast("double").alias("pa"), w), "epa-fit")
     return Fitted(PipelineModel([filler, assembler, trees.fit(ready)]), "regressor")
 
 
@@ -223,9 +231,7 @@ def fit_gbt(fit: DataFrame, tail: DataFrame, cols: Sequence[str], w: str, params
     same seed grows the same first trees.
     """
     filler, assembler = _tree_inputs(fit, cols)
-    spark = fit.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:     # long runs cut their lineage there
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))
+    checkpointed(fit.sparkSession)
 
     def ready(df: DataFrame, name: str) -> DataFrame:
         return store(assembler.transform(filler.transform(df)).select(
