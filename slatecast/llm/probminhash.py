@@ -170,7 +170,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Da
 
     a, b = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), \
         texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    # merge joins at every size: both use one exchange of the texts
+    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
 def _close(i: int, j: np.ndarray, sets: list, totals: np.ndarray, mark: np.ndarray, least: float) -> np.ndarray:
@@ -241,7 +242,7 @@ def open_bucket_links(apart: DataFrame, texts: DataFrame, least: float, size: in
                     names=["id", "shingles", "counts"])
 
     wanted = apart.select("id").distinct()
-    details = store(texts.join(wanted, "id").select("id", "text").mapInArrow(
+    details = store(texts.hint("merge").join(wanted, "id").select("id", "text").mapInArrow(
         sets, "id long, shingles binary, counts binary").dropDuplicates(["id"]), "shingle-sets")
     blocks = F.ceil(F.col("n") / block).cast("int")
     placed = apart.withColumn("blocks", blocks).withColumn(
@@ -317,4 +318,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` that are the least doc_id of their group (rows without a doc_id stay)."""
     found = near_duplicates(docs, doc_id=doc_id, **options)
     gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias(doc_id))
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+    return docs.hint("merge").join(gone, doc_id, "left_anti").select(*docs.columns)
