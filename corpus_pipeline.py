@@ -1,7 +1,7 @@
 """A training corpus from ``documents`` in five stages.
 
 1. language_id drops documents in no known language and writes the language found into ``lang``;
-2. line_dedup removes repeated line chunks from the texts;
+2. line_dedup removes repeated line chunks and runs of over 50 words from the texts;
 3. near_dedup keeps one document (the least doc_id) of each group of near-duplicates;
 4. mixing lays the documents out by training position, those read twice twice;
 5. sentencepiece encodes the texts: (doc_id, n_tokens, ids, lossless).

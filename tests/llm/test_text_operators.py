@@ -75,6 +75,53 @@ def test_line_dedup_hot_chunk_is_salted(spark, monkeypatch):
     assert got == dict(without_repeats(rows))
 
 
+def lines_said_before(rows, least=50):
+    """(row, line) inside a run of over ``least`` words that an earlier document or the text before has, all pairs tried."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0]))
+    texts = [(rows[i][1] or "").split("\n") for i in order]
+    gone = set()
+    for d, own in enumerate(texts):
+        for e in range(d + 1):
+            for a in range(len(own)):
+                for b in range(len(texts[e]) if e < d else a):
+                    n = 0
+                    while a + n < len(own) and b + n < (len(texts[e]) if e < d else a) and own[a + n] == texts[e][b + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in own[a:a + n]) > least:
+                        gone |= {(order[d], a + k) for k in range(n)}
+    return gone
+
+
+def test_line_dedup_removes_every_repeated_run(spark):
+    rng = random.Random(11)
+    rows = []
+    for n in (2, 3, 4):
+        for offset in range(6):
+            # passages of n lines of under 50 words, over 50 in all, behind and before lines of no other document
+            passage = [" ".join(f"p{n}x{offset}x{i}w{w}" for w in range(52 // n + rng.randint(1, 4))) for i in range(n)]
+            passage.insert(1, "")
+            for copy in range(3):
+                own = [f"own {len(rows)} {k} {rng.random()}" for k in range(offset + copy + 2)]
+                rows.append((len(rows), "\n".join(own[:offset] + passage + own[offset:])))
+    # a run whose first window and last window stand in different documents, and repeats inside one text
+    a, b, c = ([" ".join(f"{x}{i}w{w}" for w in range(20)) for i in range(4)] for x in "abc")
+    rows += [(100, "\n".join(a + b)), (101, "\n".join(b + c)), (102, "\n".join(["new", *a, *b, *c, "end"])),
+             (103, "\n".join(["in", *[x + "q" for x in a], "between", *[x + "q" for x in a], "out"])),
+             (104, "\n".join(["one and the same line of nine words here"] * 12)), (105, "\n" * 3000 + "\n".join(a[:3]))]
+    gone = lines_said_before(rows[:-1]) | {(len(rows) - 1, 3000 + k) for k in range(3)}
+    got = {r.doc.doc_id: r for r in line_chunks.dedup_lines(frame(spark, rows)).collect()}
+    first = {}
+    for k, (i, t) in enumerate(rows):
+        lines = t.split("\n")
+        for x, y, may in line_chunks.chunks(t):
+            if may and first.setdefault("\n".join(lines[x:y]), (i, x)) != (i, x):
+                gone |= {(k, z) for z in range(x, y)}
+        kept = [x for z, x in enumerate(lines) if (k, z) not in gone]
+        assert got[i].doc.text == "\n".join(kept), i
+        assert got[i].n_removed == len(lines) - len(kept)
+    assert got[102].doc.text == "new\nend"
+
+
 # licenses -------------------------------------------------------------------
 
 def test_license_base_rule_against_regular_expressions(spark):
