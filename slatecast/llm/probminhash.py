@@ -20,9 +20,10 @@ blocks, every block against every other.
 
 Defined cases: words are runs of letters and digits, lower-cased; a text of
 fewer words than a shingle is one shingle; a text without words (null, empty)
-is a class of its own; rows that repeat a doc_id are one document with several
-rows (that with the least words decides their class); a null doc_id keeps its
-row, without a class.
+is a class of its own; rows that repeat a doc_id with one text are alike,
+and with different texts each text has its own class: ``keep_one`` keeps or drops
+each row by the class of its text, the report names one class for a doc_id (of
+the text whose word digest is least); a null doc_id keeps its row, without a class.
 """
 
 from __future__ import annotations
@@ -150,8 +151,8 @@ def weighted(found: list[str], size: int = WORDS) -> Counter:
     return Counter(zip(*(found[k:] for k in range(size))))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
-    """Pairs (a, b) whose texts are similar enough; texts are fetched by two joins."""
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, least: float, size: int) -> DataFrame:
+    """Pairs (a, b) whose texts are similar enough; texts (id, tag, text) are fetched by two joins."""
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, Counter] = {}      # the centre of a star serves many pairs in a row
         for whole in parts:
@@ -168,10 +169,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> Da
                 yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take)],
                                                  names=["a", "b"])
 
-    a, b = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), \
-        texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    # merge joins at every size: both use one exchange of the texts
-    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    for end in "ab":
+        place = classes.select(F.col("node").alias(end), F.col("id").alias(f"id_{end}"), F.col("tag").alias(f"tag_{end}"))
+        pairs = pairs.join(place, end)
+    for end in "ab":
+        found = texts.select(F.col("id").alias(f"id_{end}"), F.col("tag").alias(f"tag_{end}"),
+                             F.col("text").alias(f"t{end}"))
+        # merge joins at every size: both use one exchange of the texts
+        pairs = pairs.join(found.hint("merge"), [f"id_{end}", f"tag_{end}"])
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
 def _close(i: int, j: np.ndarray, sets: list, totals: np.ndarray, mark: np.ndarray, least: float) -> np.ndarray:
@@ -228,8 +234,9 @@ def _joining_links(table: pa.Table, least: float) -> list[tuple[int, int]]:
     return found
 
 
-def open_bucket_links(apart: DataFrame, texts: DataFrame, least: float, size: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between components that share a bucket; ``apart`` is (key, n, id, root)."""
+def open_bucket_links(apart: DataFrame, texts: DataFrame, classes: DataFrame, least: float, size: int,
+                      block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between components that share a bucket; ``apart`` is (key, n, id, root), its ids are nodes."""
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in parts:
@@ -241,8 +248,8 @@ def open_bucket_links(apart: DataFrame, texts: DataFrame, least: float, size: in
                      pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary())],
                     names=["id", "shingles", "counts"])
 
-    wanted = apart.select("id").distinct()
-    details = store(texts.hint("merge").join(wanted, "id").select("id", "text").mapInArrow(
+    wanted = apart.select(F.col("id").alias("node")).distinct().join(classes.select("node", "id", "tag"), "node")
+    details = store(texts.hint("merge").join(wanted, ["id", "tag"]).select("node", "text").mapInArrow(
         sets, "id long, shingles binary, counts binary").dropDuplicates(["id"]), "shingle-sets")
     blocks = F.ceil(F.col("n") / block).cast("int")
     placed = apart.withColumn("blocks", blocks).withColumn(
@@ -263,11 +270,12 @@ def open_bucket_links(apart: DataFrame, texts: DataFrame, least: float, size: in
     return placed.mapInArrow(linked, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-                    size: int = WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, class_id) for every distinct doc_id; class_id is the least doc_id of its group."""
+def _labelled(docs: DataFrame, least: float, bands: int, rows: int, size: int, text: str,
+              doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """Every row as (id, tag, digest), and (digest, class_id) of every class of words; class_id is its group's least id."""
+    body = docs[text].cast("string")
     source = docs.filter(docs[doc_id].isNotNull()).select(
-        docs[doc_id].cast("long").alias("id"), docs[text].cast("string").alias("text"))
+        docs[doc_id].cast("long").alias("id"), F.xxhash64(body).alias("tag"), body.alias("text"))
 
     def banded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -275,28 +283,30 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
             for at in range(0, whole.num_rows, 500):
                 part = whole.slice(at, 500)
                 digests, keys = [], []
-                for t in part.column(1).to_pylist():
+                for t in part.column(2).to_pylist():
                     found = words(t)
                     digests.append(xxhash.xxh3_128_hexdigest(" ".join(found).encode("utf-8", "surrogatepass"))
                                    if found else None)
                     keys.append(band_keys(found, hashes, bands, rows, size) if found else None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(digests, pa.string()), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["id", "digest", "keys"])
+                    [part.column(0), part.column(1), pa.array(digests, pa.string()),
+                     pa.array(keys, pa.list_(pa.int64()))], names=["id", "tag", "digest", "keys"])
 
     # one pass over the texts, which stay where they are
-    digested = store(source.mapInArrow(banded, "id long, digest string, keys array<long>"), "document-bands")
-    of_words = digested.groupBy("id").agg(F.min("digest").alias("digest"))
-    classes = of_words.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("id"))
-    classes = store(classes.select("id", "digest"), "word-classes")
-    members = digested.join(classes, ["id", "digest"]).select("id", F.explode("keys").alias("key"))
+    digested = store(source.mapInArrow(banded, "id long, tag long, digest string, keys array<long>"), "document-bands")
+    classes = digested.filter("digest is not null").groupBy("digest").agg(F.min(F.struct("id", "tag")).alias("least"))
+    # a class is a node of its own, as one doc_id may be the least of several classes
+    classes = store(classes.select("digest", "least.id", "least.tag", F.monotonically_increasing_id().alias("node")),
+                    "word-classes")
+    members = digested.join(classes, ["id", "tag", "digest"]).select(
+        F.col("node").alias("id"), F.explode("keys").alias("key"))
     members = store(members, "bands")
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     buckets = store(buckets, "buckets")
     shared = store(members.join(buckets, "key").select("key", "a", "id"), "bucket-members")
     stars = shared.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
     stars = store(stars, "candidates")
-    links = store(_verified(stars, source, least, size), "document-links")
+    links = store(_verified(stars, source, classes, least, size), "document-links")
     roots = components(links)
 
     # what stars left apart: classes of different components that share a bucket
@@ -305,17 +315,31 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                          F.count("*").alias("n")).filter("lo < hi")
     apart = store(named.join(open_keys.select("key", "n"), "key"), "open-buckets")
-    more = store(open_bucket_links(apart, source, least, size), "document-links")
+    more = store(open_bucket_links(apart, source, classes, least, size), "document-links")
     roots = components(links.unionByName(more))
 
-    label = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "digest", F.coalesce("root", "id").alias("class_id"))
+    linked = classes.join(roots, "node").select("digest", "id", "root")
+    firsts = linked.groupBy("root").agg(F.min("id").alias("first"))
+    linked = linked.join(firsts, "root").select("digest", "first")
+    label = classes.join(linked, "digest", "left").select("digest", F.coalesce("first", "id").alias("class_id"))
+    return digested.select("id", "tag", "digest"), label
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+                    size: int = WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, class_id) for every distinct doc_id; class_id is the least doc_id of its group."""
+    digested, label = _labelled(docs, least, bands, rows, size, text, doc_id)
+    of_words = digested.groupBy("id").agg(F.min("digest").alias("digest"))
     return of_words.join(label, "digest", "left").select(
         F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """Rows of ``docs`` that are the least doc_id of their group (rows without a doc_id stay)."""
-    found = near_duplicates(docs, doc_id=doc_id, **options)
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias(doc_id))
-    return docs.hint("merge").join(gone, doc_id, "left_anti").select(*docs.columns)
+def keep_one(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = WORDS,
+             text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose doc_id is the least of their text's group (rows without a doc_id or words stay)."""
+    digested, label = _labelled(docs, least, bands, rows, size, text, doc_id)
+    gone = digested.join(label, "digest").filter("id <> class_id").select(
+        F.col("id").alias("_gone_id"), F.col("tag").alias("_gone_tag"))
+    same = (docs[doc_id].cast("long") == F.col("_gone_id")) & (
+        F.xxhash64(docs[text].cast("string")) == F.col("_gone_tag"))
+    return docs.hint("merge").join(gone, same, "left_anti").select(*docs.columns)

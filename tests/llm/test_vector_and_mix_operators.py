@@ -163,6 +163,21 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept.columns == documents(spark, rows).columns
 
 
+def test_near_duplicates_of_repeated_ids_go_by_text(spark):
+    rng = np.random.default_rng(8)
+    x, y, z, u = (" ".join(f"w{k}" for k in rng.integers(0, 5000, 60)) for _ in range(4))
+    near = lambda t: t.rsplit(" ", 1)[0] + " other"
+    for a, b in ((x, y), (y, x)):   # whichever text has the lesser digest
+        rows = [(1, a), (2, near(a)), (2, b), (3, near(b)), (3, z), (4, near(z)), (4, near(z)), (5, u), (5, ""), (6, near(near(u)))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        want = sorted([(1, a), (2, b), (3, z), (5, u), (5, "")])
+        for parts in (1, 5):
+            got = probminhash.keep_one(frame.repartition(parts)).collect()
+            assert sorted(map(tuple, got)) == want
+        report = dict(map(tuple, probminhash.near_duplicates(frame).collect()))
+        assert report[1] == 1 and report[2] in (1, 2) and report[3] in (2, 3) and report[4] == 3 and report[6] == 5
+
+
 def test_mixing_reaches_targets(spark):
     rng = random.Random(10)
     rows = [(i, " ".join(["w"] * rng.randint(0, 50)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(400)]
