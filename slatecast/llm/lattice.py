@@ -90,15 +90,16 @@ class Lattice:
         unit = x / np.abs(x).max(1, keepdims=True)
         unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
         out = np.empty((len(x), self.tables, 1 + self.neighbours), np.int64)
+        length = d * int(self.mixer[0]) & ((1 << 62) - 1)
         for t in range(self.tables):
             y = unit @ self.planes[d][t]
             own = nearest_e8(y)
             gain = (y - own) @ self.around.T
             best = np.argpartition(-gain, self.neighbours - 1, axis=1)[:, :self.neighbours]
             points = np.concatenate([own[:, None], own[:, None] + self.around[best]], axis=1)
-            codes = (np.rint(points * 2).astype(np.int64) * self.mixer).sum(-1)
+            codes = (np.rint(points * 2).astype(np.int64) * self.mixer).sum(-1) + length
             codes = (codes ^ (codes >> 29)) & ((1 << 50) - 1)
-            out[:, t] = codes * 1024 + t * 64 % 1024 + d % 64
+            out[:, t] = codes * 1024 + t * 64 % 1024 + d % 64     # the whole length is in codes
         return out
 
 
@@ -211,15 +212,21 @@ def link_vectors(classes: DataFrame, threshold: float = 0.9, tables: int = TABLE
             edges = np.concatenate([[0], change, [len(uid)]])
             out = []
             for a, b in zip(edges, edges[1:]):
-                # something to compare: a visitor besides the one that stands here
                 if b - a < 2 or not (role[a:b] & 1).any():
                     continue
                 data = whole.column("x").slice(a, b - a).to_pylist()
-                x = np.frombuffer(b"".join(data), np.float64).reshape(b - a, -1)
-                got = _links(uid[a:b], copies[a:b], x, role[a:b], lattice, threshold,
-                             int(keys[0][a] % 1024) // 64)
-                if got:
-                    out.append(got)
+                lengths = np.array([len(v) for v in data])
+                # keys of unlike lengths may still be equal by chance, so each length is compared by itself
+                for length in np.unique(lengths):
+                    at = np.flatnonzero(lengths == length)
+                    # something to compare: a visitor besides the one that stands here
+                    if len(at) < 2 or not (role[a:b][at] & 1).any():
+                        continue
+                    x = np.frombuffer(b"".join(data[k] for k in at), np.float64).reshape(len(at), -1)
+                    got = _links(uid[a:b][at], copies[a:b][at], x, role[a:b][at], lattice, threshold,
+                                 int(keys[0][a] % 1024) // 64)
+                    if got:
+                        out.append(got)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(3)],
                                                  names=["uid", "n", "near"])

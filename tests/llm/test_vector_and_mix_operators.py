@@ -92,6 +92,25 @@ def test_lattice_against_brute_force(spark, blocks):
     assert mine[-60:].tolist() == [59] * 60
 
 
+@pytest.mark.parametrize("short, long", [(64, 128), (384, 768)])
+def test_lattice_never_compares_unlike_lengths(spark, monkeypatch, short, long):
+    # all vectors of a table meet in one cell, as far as their lengths allow
+    def one_cell(self, x):
+        keys = true_cells(self, x) % 1024
+        return keys + (keys // 64 + 1) * 1024
+    true_cells = lattice.Lattice.cells
+    rng = np.random.default_rng(4)
+    base = {d: rng.normal(size=d) for d in (short, long)}
+    rows = [(i, (base[d] + 0.01 * rng.normal(size=d)).tolist()) for i, d in enumerate([short, long, short, long, long])]
+    same = lattice.Lattice(1, 4, 0.6, 1)
+    same.planes = {d: np.zeros((1, d, 8)) for d in base}
+    keys = [same.cells(np.ones((1, d)))[0, 0, 0] for d in base]
+    assert keys[0] != keys[1]           # one lattice point, two lengths
+    monkeypatch.setattr(lattice.Lattice, "cells", one_cell)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in lattice.embedding_groups(vectors(spark, rows), tables=1).collect()}
+    assert got == {0: (1, 0), 2: (1, 0), 1: (2, 1), 3: (2, 1), 4: (2, 1)}
+
+
 def test_lattice_recall_at_the_threshold(spark):
     rng = np.random.default_rng(4)
     a = rng.normal(size=(800, 64))
