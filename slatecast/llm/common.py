@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from slatecast.session import store
 
-__all__ = ["hash60", "runs", "store", "table"]
+__all__ = ["hash60", "in_order", "positions", "runs", "store", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,3 +45,33 @@ def runs(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
             held.append(part.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` written in the order of ``keys`` (nulls first) with its place ``_at``.
+
+    ``_at`` rises with the order; its high bits are the range partition. Rows
+    with equal keys are told apart by a row number, so that any number of them
+    may be dealt out over several partitions.
+    """
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col("_row").asc()]
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_row")
+    return store(placed.withColumn("_at", F.monotonically_increasing_id()), name)
+
+
+def positions(placed: DataFrame, group: list[str]) -> DataFrame:
+    """Position (from 0) of every row of :func:`in_order` in its group, and the group's rows ``n``.
+
+    ``group`` are the leading sort columns, without nulls. No group is brought
+    together: partitions hold runs of it, whose lengths are added up.
+    """
+    part = F.shiftright("_at", 33)
+    pieces = placed.groupBy(*group, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    whole = W.partitionBy(*group)
+    pieces = pieces.select(
+        *group, "_part", "_first", F.sum("_rows").over(whole).alias("n"),
+        (F.sum("_rows").over(whole.orderBy("_part")) - F.col("_rows")).alias("_before"))
+    pieces = store(pieces, "pieces")
+    placed = placed.withColumn("_part", part).join(pieces, [*group, "_part"])
+    return placed.withColumn("pos", F.col("_before") + F.col("_at") - F.col("_first")).drop("_part", "_first", "_before")

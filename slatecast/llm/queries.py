@@ -12,6 +12,7 @@ from slatecast.llm import (
     lattice,
     licenses,
     line_chunks,
+    merkle,
     mixing,
     probminhash,
     separators,
@@ -103,6 +104,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, checked after tampering."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -114,6 +120,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 MIXING_SQL = r"""
@@ -182,7 +189,70 @@ r as (
 select query_id, rank, vec_id, score from r where rank <= 20
 """
 
+#: CRC-32 of an ASCII string x, bit by bit
+CRC32_SQL = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::bigint, [ord(c)::bigint for c in string_split({x}, '')]),
+  lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+    lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))))"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::varchar)::varchar || ':' || {column}, '-')"
+
+
+MERKLE_SQL = f"""
+with recursive d as (
+  select *, sha256({_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')}
+                   || {_field('text')}) as leaf,
+    coalesce({CRC32_SQL.format(x='doc_id::varchar')} % 2 = 0, false) as tampered
+  from documents),
+l as (
+  select doc_id, source, leaf, row_number() over (order by source nulls first, doc_id nulls first, leaf) as row,
+    row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+    case when tampered then sha256({_field('doc_id')} || {_field('source')} || {_field('lang')}
+      || {_field('n_chars')} || {_field("replace(text, chr(10), '')")}) else leaf end as changed
+  from d),
+-- every level of every source's tree
+t as (
+  select 0 as level, source, pos, leaf as node, count(*) over (partition by source) as n from l
+  union all
+  select level + 1, source, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3 from t
+  where n > 1 group by level, source, pos // 3, n),
+s as (select source, node as subroot, row_number() over (order by source nulls first) - 1 as place from t where n = 1),
+u as (
+  select 0 as level, place as pos, subroot as node, count(*) over () as n from s
+  union all
+  select level + 1, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3 from u
+  where n > 1 group by level, pos // 3, n),
+-- one list of nodes per run
+runs as (select level, source, pos // 3 as run, list(node order by pos) as nodes from t where n > 1
+  group by level, source, pos // 3),
+top as (select level, pos // 3 as run, list(node order by pos) as nodes from u where n > 1 group by level, pos // 3),
+-- up along the path: siblings gathered, tampered digests folded
+p as (
+  select 0 as level, row, source, pos, ''::varchar as proof, changed as folded from l
+  union all
+  select p.level + 1, row, p.source, pos // 3,
+    proof || coalesce(array_to_string(nodes[:pos % 3], ''), '') || coalesce(array_to_string(nodes[pos % 3 + 2:], ''), ''),
+    sha256(array_to_string(nodes[:pos % 3], '') || folded || array_to_string(nodes[pos % 3 + 2:], ''))
+  from p join runs on runs.level = p.level and runs.source is not distinct from p.source and run = pos // 3),
+inner_ as (select p.* from p join (select row, max(level) as level from p group by row) using (row, level)),
+q as (
+  select 0 as level, row, place as pos, proof, folded, subroot from inner_ join s
+    on s.source is not distinct from inner_.source
+  union all
+  select q.level + 1, row, pos // 3,
+    proof || array_to_string(nodes[:pos % 3], '') || array_to_string(nodes[pos % 3 + 2:], ''),
+    sha256(array_to_string(nodes[:pos % 3], '') || folded || array_to_string(nodes[pos % 3 + 2:], '')), subroot
+  from q join top on top.level = q.level and run = pos // 3),
+outer_ as (select q.* from q join (select row, max(level) as level from q group by row) using (row, level))
+select doc_id, leaf, subroot, (select node from u where n = 1) as root, sha256(proof) as proof_sha256,
+  folded as folded_root, folded = (select node from u where n = 1) as verified
+from l join outer_ using (row)
+"""
+
 ORACLE_SQL = {
+    "op12_merkle_manifest": MERKLE_SQL,
     "op3_topk": TOPK_SQL,
     "op6_mixing": MIXING_SQL,
 }
