@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatecast.llm import (
+    adaptive_scan,
     langid,
     lattice,
     licenses,
@@ -15,6 +16,7 @@ from slatecast.llm import (
     merkle,
     mixing,
     probminhash,
+    repair,
     separators,
     topk,
     toxicity,
@@ -104,11 +106,21 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage, with its audit."""
+    return repair.audit_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, checked after tampering."""
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every vector whose id 20 divides."""
+    return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -120,7 +132,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_nearest": op13_nearest,
 }
 
 MIXING_SQL = r"""
@@ -251,7 +265,72 @@ select doc_id, leaf, subroot, (select node from u where n = 1) as root, sha256(p
 from l join outer_ using (row)
 """
 
+REPAIR_SQL = rf"""
+with recursive d as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {CRC32_SQL.format(x="coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as dealt
+  from conversations),
+r as (
+  select conv_id, turn, case when dealt = 4 then 'user' else role end as role,
+    case dealt when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from d, unnest(case when dealt = 3 then [0, 1] else [0] end) where dealt <> 0),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos from r),
+f as (
+  select *, left(role, 1) as initial, case
+    when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+    when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else 'sound' end as fault,
+    lag(left(role, 1)) over (partition by conv_id order by pos) || left(role, 1) as pair
+  from o),
+-- states: 0 nothing yet, 1 after system, 2 after user, 3 after assistant
+hop(state, mid, audit, lines) as (values
+  (0, 0, '', []::varchar[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+  (0, 2, 'I', ['user:']), (1, 2, 'I', ['user:']), (3, 2, 'I', ['user:']), (2, 3, 'I', ['assistant:']),
+  (0, 3, 'II', ['user:', 'assistant:']), (1, 3, 'II', ['user:', 'assistant:'])),
+take(mid, initial, role, state) as (values
+  (0, 's', null, 1), (0, 'u', 'user', 2), (1, 'u', 'user', 2), (3, 'u', 'user', 2), (2, 'a', 'assistant', 3)),
+step as (
+  select b.conv_id, b.pos, hop.state as before, take.state, case when initial = take_initial then 'K' else 'R' end as edit,
+    hop.audit, hop.lines, case when initial = take_initial then 0 else 1 end + case fault when 'truncated' then 5 else 0 end
+      + 5 * length(hop.audit) as cost,
+    case when initial = take_initial then role else take.role end || ':' || text as line
+  from f b, hop, (select mid, initial as take_initial, role, state from take) take
+  where hop.mid = take.mid and fault in ('sound', 'truncated') and (initial = take_initial or take.role is not null)
+  union all
+  select b.conv_id, b.pos, hop.state, hop.mid, 'D', hop.audit, hop.lines, 2 + 5 * length(hop.audit), null
+  from f b, hop),
+best as (
+  select conv_id, 0::bigint as pos, 0 as state, {{'cost': 0::bigint, 'audit': '', 'lines': []::varchar[]}} as b
+  from (select distinct conv_id from f)
+  union all
+  select best.conv_id, best.pos + 1, step.state, min({{
+    'cost': (b.cost + step.cost)::bigint, 'audit': b.audit || step.audit || step.edit,
+    'lines': list_concat(b.lines, step.lines, case when line is null then [] else [line] end)}})
+  from best join step on step.conv_id is not distinct from best.conv_id and step.pos = best.pos + 1
+    and step.before = best.state
+  group by best.conv_id, best.pos, step.state),
+ended as (
+  select best.conv_id, min({{'cost': b.cost + 5 * length(hop.audit), 'audit': b.audit || hop.audit,
+    'lines': list_concat(b.lines, hop.lines)}}) as b
+  from best join (select conv_id, max(pos) as pos from f group by conv_id) last
+    on last.conv_id is not distinct from best.conv_id and last.pos = best.pos
+  join hop on hop.state = best.state and hop.mid in (0, 3) group by best.conv_id),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from f group by conv_id)
+select i.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+  coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(b.cost, 0)::bigint as cost, coalesce(b.audit, '') as audit,
+  sha256(coalesce(array_to_string(b.lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) i
+left join counts c on c.conv_id is not distinct from i.conv_id
+left join ended e on e.conv_id is not distinct from i.conv_id
+"""
+
 ORACLE_SQL = {
+    "op11_conversation_repair": REPAIR_SQL,
     "op12_merkle_manifest": MERKLE_SQL,
     "op3_topk": TOPK_SQL,
     "op6_mixing": MIXING_SQL,
