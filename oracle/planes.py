@@ -41,7 +41,21 @@ FINAL = {
     "conform_pitches": """
         select game_pk, at_bat_number, pitch_number, zone, launch_speed, balls, cast(null as varchar) as events
         from {raw_pitches}""",
-    "stream_late": "select distinct game_pk, official_date from {raw_games}",
+    # a row is accepted if it is newer than the newest date landed before, less fourteen days; the first copy stays
+    "stream_late": """
+        select game_pk, official_date, min(slice) as slice from (
+            select g.game_pk, g.official_date, s.slice, cast(g.official_date as date) as day,
+                   (select max(cast(official_date as date)) from {raw_games} b
+                    join (values (0, '2021-01-01', '2023-06-30'), (1, '2023-06-01', '2024-12-31'),
+                                 (2, '2023-01-01', '2023-03-31')) t(slice, first, last)
+                      on b.official_date between t.first and t.last
+                    where t.slice < s.slice and (t.slice > 0 or b.game_pk % 5 <> 0)) as newest
+            from {raw_games} g
+            join (values (0, '2021-01-01', '2023-06-30'), (1, '2023-06-01', '2024-12-31'),
+                         (2, '2023-01-01', '2023-03-31'), (3, '2024-12-20', '2026-12-31')) s(slice, first, last)
+              on g.official_date between s.first and s.last and (s.slice > 0 or g.game_pk % 5 <> 0))
+        where newest is null or day > newest - 14
+        group by game_pk, official_date""",
     "only_in_first_copy": "select count(*) as n from {int_batter_game} where batter_id % 37 = 0",
     # pooled scores; the map at i is the highest of the lowest running means that span i
     "isotonic_map": """

@@ -360,6 +360,21 @@ FINAL = {
         from {events} e asof left join (
             select user_id, ts, max(value) as value from {events} where event_type = 'purchase' group by all) p
           on p.user_id = e.user_id and e.ts > p.ts""",
+    "asof_interval": """
+        select e.event_id, e.user_id, e.ts, p.value as last_purchase
+        from {events} e asof left join (
+            select user_id, ts, max(value) as value from {events} where event_type = 'purchase' group by all) p
+          on p.user_id = e.user_id and e.ts > p.ts""",
+    "error_intervals": """
+        select i.*, (select count(*) from {events} e where e.user_id = i.user_id and e.ts >= i.valid_from
+                     and (i.valid_to is null or e.ts < i.valid_to)) as n_events
+        from (select user_id, max(event_id) as error_id, ts as valid_from,
+                     lead(ts) over (partition by user_id order by ts) as valid_to
+              from {events} where event_type = 'error' group by user_id, ts) i""",
+    "approximate_edges": """
+        select factor, cast(edge as integer) as edge, n, true as within
+        from (select factor, count(*) as n from {long_factors} where value is not null group by factor),
+             (select unnest(range(11)) as edge)""",
     "asof_inclusive": """
         select e.event_id, e.user_id, e.ts, p.event_id as error_id
         from {events} e asof left join (

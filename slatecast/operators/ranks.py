@@ -63,16 +63,20 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.when(inside, F.greatest(below, F.lit(1)))
 
 
-def quantile_bins(df: DataFrame, by: Sequence[str], value: str, bins: int, name: str) -> DataFrame:
+def quantile_bins(df: DataFrame, by: Sequence[str], value: str, bins: int, name: str,
+                  edges: DataFrame | None = None) -> DataFrame:
     """Add the quantile bin of ``value`` inside its group; NULL value, NULL bin.
 
     One edge array per group: stored, so that its size decides the join.
+    ``edges`` (by, edges) may come from elsewhere, such as sketches.
     """
     by = list(by)
     if not by:
         keyed = df.withColumn("_all", F.lit(0))
         return quantile_bins(keyed, ["_all"], value, bins, name).drop("_all")
-    edges = store(quantiles(df, by, value, [i / bins for i in range(bins + 1)]).drop("n"), "edges")
+    if edges is None:
+        edges = quantiles(df, by, value, [i / bins for i in range(bins + 1)])
+    edges = store(edges.select(*by, "edges"), "edges")
     joined = df.join(edges, by, "left")
     return joined.withColumn(name, bin_of(F.col(value), F.col("edges")))
 

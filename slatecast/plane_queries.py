@@ -16,7 +16,7 @@ from slatecast.plans import evaluation
 from slatecast.plans import model as training
 from slatecast.plans.quality import only_in_first
 from slatecast.plans.warehouse import StarWarehouse
-from slatecast.session import scratch_path
+from slatecast.session import scratch_path, store
 from slatecast.sources import flatten, readers, sinks
 from slatecast.streaming import jobs
 
@@ -145,17 +145,30 @@ def conform_pitches(spark, sf_dir):
     return typed.select("game_pk", "at_bat_number", "pitch_number", "zone", "launch_speed", "balls", "events")
 
 
+#: Slices of games as they land; every fifth game misses the first. Some of those come two weeks late at most
+#: (second slice), the rest too late (third slice).
+LATE_SLICES = [("2021-01-01", "2023-06-30"), ("2023-06-01", "2024-12-31"), ("2023-01-01", "2023-03-31"),
+               ("2024-12-20", "2026-12-31")]
+LATE_DAYS = 14
+
+
 @query
 def stream_late(spark, sf_dir):
-    """Games landed as one file: none is late, and a game that lands twice counts once."""
-    from slatecast.queries import _land
-
-    games = StarWarehouse(spark, sf_dir, ()).raw("games")
-    path, schema = _land(games.coalesce(1), "late-games")
-    rows = jobs.late_tolerant(jobs.landed_stream(spark, path, schema, 1), ["game_pk"], "official_date", 14)
-    out = scratch_path(spark, "late-tolerant")
-    jobs.drain(rows.select("game_pk", "official_date"), out, scratch_path(spark, "checkpoint"))
-    return spark.read.schema("game_pk long, official_date string").parquet(out)
+    """Overlapping, out-of-order slices of games: what is older than the newest date by over two weeks is too late."""
+    games = StarWarehouse(spark, sf_dir, ()).raw("games").select(
+        "game_pk", "official_date", F.lit(0).alias("slice"))
+    games = store(games, "games-by-date")
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("late-games", "late-tolerant", "checkpoint"))
+
+    def run():
+        rows = jobs.late_tolerant(jobs.landed_stream(spark, path, games.schema), ["game_pk"], "official_date", LATE_DAYS)
+        jobs.drain(rows.select("game_pk", "official_date", "slice"), out, checkpoint)
+
+    slices = [games.filter(F.col("official_date").between(first, last)).withColumn("slice", F.lit(i))
+              for i, (first, last) in enumerate(LATE_SLICES)]
+    slices[0] = slices[0].filter("game_pk % 5 <> 0")
+    jobs.land_and_run(slices, path, run)
+    return spark.read.schema(games.schema).parquet(out)
 
 
 @query

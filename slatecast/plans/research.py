@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from slatecast.functions.pitch_flags import PITCH_TYPES
 from slatecast.functions.rates import at_least_one, safe_div, wilson
+from slatecast.operators import sketches
 from slatecast.operators.ranks import quantile_bins, spearman
 from slatecast.session import store
 
@@ -95,10 +96,21 @@ def long_form(df: DataFrame, factors: Mapping[str, str] | Sequence[str],
     return long.withColumnsRenamed({v: k for k, v in kept.items()})
 
 
-def decile_table(long: DataFrame, bins: int = 10) -> DataFrame:
-    """Hit rate with interval per quantile bin of each factor."""
-    binned = quantile_bins(long.filter(F.col("value").isNotNull() & F.col("has_hit").isNotNull()),
-                           ["factor"], "value", bins, "_bin")
+def approximate_edges(long: DataFrame, bins: int = 10, k: int = sketches.K) -> DataFrame:
+    """(factor, n, edges) from sketches per factor and month that are merged over the months."""
+    monthly = store(sketches.quantile_sketches(long, ["factor", "season", "month"], "value", k), "value-sketches")
+    return sketches.edges_of(sketches.merged(monthly, ["factor"]), ["factor"], [i / bins for i in range(bins + 1)])
+
+
+def decile_table(long: DataFrame, bins: int = 10, approximate: bool = False) -> DataFrame:
+    """Hit rate with interval per quantile bin of each factor.
+
+    ``approximate`` takes the edges from sketches (see ``sketches.rank_error``):
+    one pass and no sort, where exact edges count every distinct value.
+    """
+    known = long.filter(F.col("value").isNotNull() & F.col("has_hit").isNotNull())
+    edges = approximate_edges(known, bins) if approximate else None
+    binned = quantile_bins(known, ["factor"], "value", bins, "_bin", edges)
     cuts = F.array_distinct("edges")
     mid = (F.element_at(cuts, F.col("_bin")) + F.element_at(cuts, F.col("_bin") + 1)) / 2
     table = (binned.filter(F.col("_bin").isNotNull()).withColumn("mid", mid)

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from slatecast.adapter import SLATE_DATE
 from slatecast.functions.pitch_flags import FLAGS
 from slatecast.functions.rates import eb_shrink, wilson
-from slatecast.operators.asof import asof_join
+from slatecast.operators import sketches
+from slatecast.operators.asof import asof_join, interval_join, validity
 from slatecast.operators.modal import modal_value
 from slatecast.operators.ordered import Previous, Recent, Running, ordered_windows
 from slatecast.operators.ranks import quantiles, spearman
@@ -393,43 +394,65 @@ def coverage(spark, sf_dir):
                                   for t in [*DATE_COLUMN, "heartbeat"]})
 
 
-# ---- streams: landed files drained to a result that equals the batch one ----------
+# ---- streams: slices land one after another, each drained by a run of its own ------
 
-def _land(df: DataFrame, name: str) -> tuple[str, T.StructType]:
-    """Write the rows as landed files, one per partition of the table."""
-    path = scratch_path(df.sparkSession, f"landed-{name}")
-    df.write.parquet(path)
-    return path, df.schema
+#: Days that a landing reloads of the one before it.
+OVERLAP_DAYS = 3
+
+
+def date_slices(df: DataFrame, date: str, borders: list[str]) -> list[DataFrame]:
+    """Slices between the borders; each begins OVERLAP_DAYS before the end of the one before."""
+    day = F.to_date(date)
+    edges = [None, *borders, None]
+    out = []
+    for start, end in zip(edges, edges[1:]):
+        rows = df
+        if start:
+            rows = rows.filter(day > F.date_sub(F.lit(start).cast("date"), OVERLAP_DAYS))
+        out.append(rows.filter(day <= F.lit(end).cast("date")) if end else rows)
+    return out
 
 
 @query
 def stream_dedup(spark, sf_dir):
+    """Pitches that land by season with overlapping days; the state forgets keys a week after their date."""
     keys = staging.PITCH_KEY
-    path, schema = _land(StarWarehouse(spark, sf_dir, ()).raw("pitches"), "pitches")
-    rows = jobs.dedup_stream(jobs.landed_stream(spark, path, schema, 2), keys).select(*keys)
-    out = scratch_path(spark, "deduped")
-    jobs.drain(rows, out, scratch_path(spark, "checkpoint"))
-    return spark.read.schema(rows.schema).parquet(out)
+    raw = StarWarehouse(spark, sf_dir, ()).raw("pitches").select(
+        *keys, F.to_timestamp("game_date").alias("played_at"))
+    raw = store(raw, "pitch-keys")
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("landed-pitches", "deduped", "checkpoint"))
+    jobs.land_and_run(date_slices(raw, "played_at", ["2023-01-01", "2025-01-01"]), path, lambda: jobs.drain(
+        jobs.dedup_stream(jobs.landed_stream(spark, path, raw.schema), keys, "played_at").select(*keys), out, checkpoint))
+    return spark.read.schema(raw.select(*keys).schema).parquet(out)
 
 
 @query
 def stream_latest(spark, sf_dir):
-    path, schema = _land(StarWarehouse(spark, sf_dir, ()).raw("games"), "games")
-    table = jobs.VersionedTable(spark, scratch_path(spark, "latest-games"), schema)
-    jobs.latest_stream(jobs.landed_stream(spark, path, schema, 3), table, ["game_pk"],
-                       [F.col("load_id").desc_nulls_last()], scratch_path(spark, "checkpoint"))
+    """Games that land twice over, merged into the buckets they touch."""
+    raw = StarWarehouse(spark, sf_dir, ()).raw("games")
+    path, checkpoint = scratch_path(spark, "landed-games"), scratch_path(spark, "checkpoint")
+    table = jobs.BucketedTable(spark, scratch_path(spark, "latest-games"), raw.schema, ["game_pk"],
+                               [F.col("load_id").desc_nulls_last()], buckets=16)
+    jobs.land_and_run(date_slices(raw, "official_date", ["2023-01-01", "2025-01-01"]), path, lambda: jobs.latest_stream(
+        jobs.landed_stream(spark, path, raw.schema), table, checkpoint))
     return table.current()
 
 
 @query
 def stream_grade(spark, sf_dir):
+    """Outcomes that land by date with overlapping days, joined once each to the logged predictions."""
     w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
-    path, schema = _land(w.fct_batter_game.select("game_pk", "batter_id", "has_hit", "hits", "pa"), "outcomes")
-    log = w.raw("predictions").select("game_pk", "batter_id", "slate_date", "p_hit", "model_version")
-    graded = jobs.grade_stream(jobs.landed_stream(spark, path, schema, 2), log)
-    out = scratch_path(spark, "graded")
-    jobs.drain(graded, out, scratch_path(spark, "checkpoint"))
-    return spark.read.schema(graded.schema).parquet(out)
+    played = w.fct_batter_game.select("game_pk", "batter_id", "has_hit", "hits", "pa",
+                                      F.col("game_date").cast("timestamp").alias("played_at"))
+    log = store(w.raw("predictions").select("game_pk", "batter_id", "slate_date", "p_hit", "model_version"), "log")
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("outcomes", "graded", "checkpoint"))
+
+    def graded() -> DataFrame:
+        return jobs.grade_stream(jobs.landed_stream(spark, path, played.schema), log, "played_at")
+
+    jobs.land_and_run(date_slices(played, "played_at", ["2024-01-01"]), path,
+                      lambda: jobs.drain(graded(), out, checkpoint))
+    return spark.read.schema(jobs.grade_stream(played, log).schema).parquet(out)
 
 
 # ---- generic operators over the given tables ----------------------------------
@@ -456,6 +479,27 @@ def asof_inclusive(spark, sf_dir):
                      ["user_id"], strict=False)
 
 
+@query
+def asof_interval(spark, sf_dir):
+    """The latest strictly earlier purchase again, as the validity interval that holds the event."""
+    events = _events(spark, sf_dir)
+    bought = events.filter("event_type = 'purchase'").select("user_id", "ts", F.col("value").alias("last_purchase"))
+    intervals = validity(bought, "ts", ["last_purchase"], ["user_id"])
+    return interval_join(events.select("event_id", "user_id", "ts"), intervals, "ts", ["last_purchase"], ["user_id"])
+
+
+@query
+def error_intervals(spark, sf_dir):
+    """How long each user's error stays the latest one, and the events that fall into that time."""
+    events = _events(spark, sf_dir)
+    errors = events.filter("event_type = 'error'").select("user_id", "ts", F.col("event_id").alias("error_id"))
+    intervals = store(validity(errors, "ts", ["error_id"], ["user_id"]), "error-intervals")
+    met = interval_join(events.select("event_id", "user_id", "ts"), intervals, "ts", ["error_id"], ["user_id"], strict=False)
+    seen = met.filter("error_id is not null").groupBy("user_id", "error_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return intervals.join(seen, ["user_id", "error_id"], "left").select(
+        "user_id", "error_id", "valid_from", "valid_to", F.coalesce("n_events", F.lit(0)).alias("n_events"))
+
+
 @query
 def asof_league(spark, sf_dir):
     """League rate strictly before each scheduled game date, no key."""
@@ -472,6 +516,17 @@ def event_quantiles(spark, sf_dir):
                                                  for i, p in enumerate(probs)]), 8)
 
 
+@query
+def approximate_edges(spark, sf_dir):
+    """Decile edges of every factor from merged monthly sketches, checked against their exact ranks."""
+    long = store(research.long_form(_features(spark, sf_dir).feat_batter_game, research.FACTORS), "factor-values")
+    edges = store(research.approximate_edges(long), "sketch-edges")
+    ranks = sketches.edge_ranks(long, ["factor"], "value", edges)
+    p, n, most = F.col("edge") / 10, F.col("n"), 2 * sketches.rank_error()
+    off = F.greatest(F.col("below") / n - p, p - F.col("upto") / n, F.lit(0.0))
+    return ranks.select("factor", "edge", "n", (off <= most + 1 / n).alias("within"))
+
+
 @query
 def price_spearman(spark, sf_dir):
     """Rank correlation of quantity and price per return flag and line status."""

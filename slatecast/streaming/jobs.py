@@ -7,7 +7,7 @@ the scheduled-job form; the same queries run continuously with another trigger.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from slatecast.operators.dedup import latest_wins
+from slatecast.session import store
 
 
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000,
@@ -55,55 +56,66 @@ def late_tolerant(rows: DataFrame, keys: Sequence[str], date: str, days: int) ->
     return kept.drop("_event_time")
 
 
-class VersionedTable:
-    """A keyed table kept as numbered Parquet versions; the newest complete one
-    is current. A version is written whole before its number is recorded, so a
-    failed batch leaves the table as it was."""
+class BucketedTable:
+    """A keyed table laid out by a hash of its key, one folder per bucket.
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+    A batch rewrites only the buckets its keys fall into, by overwriting those
+    partitions; their earlier files go with them. The merged rows are written
+    aside first, so the overwrite never reads what it replaces, and merging a
+    batch a second time changes nothing: a replayed batch is harmless. The
+    number of buckets belongs to the table; at a given batch it bounds what is
+    rewritten, and a bucket should fit a task.
+    """
+
+    BUCKET = "_bucket"
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str],
+                 order: Sequence[Column], buckets: int = 64):
         self.spark, self.root, self.schema = spark, root, schema
+        self.keys, self.order, self.buckets = list(keys), list(order), buckets
 
-    _LOG = "version long"
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(self.BUCKET)
 
-    def versions(self) -> list[int]:
+    def _stored(self) -> DataFrame:
+        layout = T.StructType([*self.schema.fields, T.StructField(self.BUCKET, T.IntegerType())])
         try:
-            rows = self.spark.read.schema(self._LOG).json(f"{self.root}/versions").collect()
+            return self.spark.read.schema(layout).parquet(self.root)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return []
-        return sorted(r["version"] for r in rows)   # one number per committed batch
+            return self.spark.createDataFrame([], layout)
 
     def current(self) -> DataFrame:
-        done = self.versions()
-        if not done:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v{done[-1]}")
+        return self._stored().select(*[F.col(f"`{c}`") for c in self.schema.names])
 
-    def commit(self, df: DataFrame, version: int) -> None:
-        if version in self.versions():   # a replayed batch
+    def merge(self, batch: DataFrame) -> None:
+        """Keep the latest row per key of the table and the batch."""
+        fresh = store(batch.select("*", self._bucket()), "merge-batch")
+        touched = [r[0] for r in fresh.select(self.BUCKET).distinct().collect()]     # at most ``buckets`` numbers
+        if not touched:
             return
-        df.write.mode("overwrite").parquet(f"{self.root}/v{version}")
-        self.spark.createDataFrame([(version,)], self._LOG).coalesce(1) \
-            .write.mode("append").json(f"{self.root}/versions")
-
-
-def latest_stream(rows: DataFrame, table: VersionedTable, keys: Sequence[str], order: Sequence[Column],
-                  checkpoint: str) -> StreamingQuery:
-    """Keep the latest row per key: each batch merges into the next version."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # the current version before this batch, also when the batch is replayed
-        earlier = [v for v in table.versions() if v < batch_id]
-        current = (table.spark.read.schema(table.schema).parquet(f"{table.root}/v{earlier[-1]}")
-                   if earlier else table.spark.createDataFrame([], table.schema))
-        table.commit(latest_wins(current.unionByName(batch), keys, order), batch_id)
-
-    query = (rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+        known = self._stored().filter(F.col(self.BUCKET).isin(touched))
+        merged = store(latest_wins(known.unionByName(fresh), self.keys, self.order), "merged-buckets")
+        (merged.repartition(self.BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.BUCKET).parquet(self.root))
+
+
+def latest_stream(rows: DataFrame, table: BucketedTable, checkpoint: str) -> StreamingQuery:
+    """Keep the latest row per key: each batch is merged into the buckets it touches."""
+    query = (rows.writeStream.foreachBatch(lambda batch, _: table.merge(batch))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query
 
 
+def land_and_run(slices: Sequence[DataFrame], path: str, run: Callable[[], object]) -> None:
+    """Scheduled runs: each slice lands as new files, then a run drains what has landed."""
+    for rows in slices:
+        rows.write.mode("append").parquet(path)
+        run()
+
+
 def grade_stream(outcomes: DataFrame, predictions: DataFrame, event_time: str | None = None) -> DataFrame:
     """Arriving outcomes joined to the logged predictions they grade.
 

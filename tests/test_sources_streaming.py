@@ -162,19 +162,32 @@ def test_late_rows_inside_the_window_only(spark, tmp_path):
     assert load((2, "2024-06-08"), (3, "2024-06-01")) == [1, 2]      # two days late kept, nine dropped
 
 
-def test_latest_stream_versions(spark, tmp_path):
-    land, ck = str(tmp_path / "land"), str(tmp_path / "ck")
+def test_latest_stream_rewrites_touched_buckets_only(spark, tmp_path):
+    land, ck, root = str(tmp_path / "land"), str(tmp_path / "ck"), tmp_path / "t"
     schema = spark.createDataFrame([], "k int, load string").schema
-    table = jobs.VersionedTable(spark, str(tmp_path / "t"), schema)
+    table = jobs.BucketedTable(spark, str(root), schema, ["k"], [F.col("load").desc()], buckets=50)
     assert table.current().count() == 0
 
-    def load(*rows):
-        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(land)
-        jobs.latest_stream(jobs.landed_stream(spark, land, schema), table, ["k"], [F.col("load").desc()], ck)
-        return sorted(map(tuple, table.current().collect()))
-
-    assert load((1, "1"), (2, "1")) == [(1, "1"), (2, "1")]
-    assert load((1, "3"), (1, "2"), (3, "1")) == [(1, "3"), (2, "1"), (3, "1")]
-    before = table.versions()
-    table.commit(table.current().limit(0), before[-1])               # a replayed batch changes nothing
-    assert table.versions() == before and table.current().count() == 3
+    def load(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        jobs.latest_stream(jobs.landed_stream(spark, land, schema), table, ck)
+        return dict(map(tuple, table.current().collect()))
+
+    def files():
+        return {p.parent.name: p.name for p in root.glob("_bucket=*/*.parquet")}
+
+    want = {k: "1" for k in range(1000)}
+    assert load([(k, "1") for k in range(1000)]) == want
+    before = files()
+    assert len(before) == 50
+    # one in a hundred keys, the earlier of two loads and a key that is new
+    change = {k: "3" for k in range(0, 1000, 100)}
+    assert load([(k, "3") for k in change] + [(0, "2"), (100, "0"), (5000, "1")]) == {**want, **change, 5000: "1"}
+    after = files()
+    changed = {b for b in after if after[b] != before.get(b)}
+    touched = {r[0] for r in spark.createDataFrame([(k,) for k in [*change, 5000]], "k int").select(
+        table._bucket()).collect()}
+    assert changed == {f"_bucket={b}" for b in touched} and len(after) == 50      # one file per bucket, old ones gone
+    # a replayed batch changes no row
+    table.merge(spark.createDataFrame([(0, "2"), (5000, "1")], schema))
+    assert dict(map(tuple, table.current().collect())) == {**want, **change, 5000: "1"}
