@@ -9,12 +9,15 @@ block the place where its first document began and the number it has.
 
 Defined cases: a document without tokens counts 0; ids after the last separator
 are a document too; an empty file has none; a file of odd length is refused. A
-null text is written as an empty document.
+null text is written as an empty document; rows that repeat a doc_id are counted
+each; a null doc_id is kept; texts of any length are encoded whole; an empty
+table gives an empty result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,25 @@ def tokenizer(ranks_path: str):
     return tiktoken.Encoding("documents", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Fixed value: what the pattern takes for blank; runs of this many overflow its engine's stack.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{5000,}")
+
+
+def encode(coder, text: str) -> list[int]:
+    """Token ids; long runs of blanks are cut out where the pattern has a border anyway.
+
+    Of a run before other text the pattern takes all but the last blank as one
+    piece, of a run at the end all of it.
+    """
+    out, at = [], 0
+    for run in BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += coder.encode_ordinary(text[at:run.start()])
+        out += coder._encode_single_piece(text[run.start():end])
+        at = end
+    return out + coder.encode_ordinary(text[at:])
+
+
 def write_token_files(docs: DataFrame, ranks_path: str, separator: int, text: str = "text",
                       doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Tokenise ``docs`` into flat files in the shared folder.
@@ -65,7 +87,7 @@ def write_token_files(docs: DataFrame, ranks_path: str, separator: int, text: st
             for part in parts:
                 counts = []
                 for t in part.column(1).to_pylist():
-                    ids = np.array(coder.encode_ordinary(t) if t else [], "<u2")
+                    ids = np.array(encode(coder, t) if t else [], "<u2")
                     out.write(ids.tobytes() + end)
                     counts.append(len(ids) + 1)
                 n = part.num_rows
@@ -105,15 +127,17 @@ def count_tokens(files: DataFrame, folder_uri: str, separator: int, block: int =
                     [pa.array([name]), pa.array([number]), pa.array([tokens]),
                      pa.array([ends.tolist()], pa.list_(pa.int64()))], names=["file", "block", "tokens", "ends"])
 
-    found = blocks.select("file", "tokens", "block").mapInArrow(
-        run, "file string, block long, tokens long, ends array<long>")
+    # the lists stay with their blocks; only counts and last places are scanned
+    found = store(blocks.select("file", "tokens", "block").mapInArrow(
+        run, "file string, block long, tokens long, ends array<long>"), "separators")
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     last = F.when(F.size("ends") > 0, F.element_at("ends", -1))
-    stitched = found.select(
-        "file", "block", "tokens", "ends",
-        F.coalesce(F.max(last).over(before), F.lit(-1)).alias("before"),
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("done"),
+    brief = found.select("file", "block", F.size("ends").alias("n"), last.alias("last"))
+    scanned = brief.select(
+        "file", "block", F.coalesce(F.max("last").over(before), F.lit(-1)).alias("before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("done"),
         F.lead("block").over(W.partitionBy("file").orderBy("block")).isNull().alias("final"))
+    stitched = found.join(scanned, ["file", "block"])
     tail = F.greatest("before", F.coalesce(last, F.lit(-1)))
     stitched = stitched.withColumn("ends", F.when(
         F.col("final") & (tail < F.col("tokens") - 1), F.concat("ends", F.array("tokens"))).otherwise(F.col("ends")))
