@@ -57,6 +57,11 @@ def minimal_vectors() -> np.ndarray:
     return np.array(out)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two of about their largest component: exact, and squares stay finite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _nearest_d8(y: np.ndarray) -> np.ndarray:
     f = np.rint(y)
     odd = np.flatnonzero(f.sum(1).astype(np.int64) & 1)
@@ -86,15 +91,20 @@ class Lattice:
         if d not in self.planes:
             rng = np.random.default_rng([self.seed, d])
             self.planes[d] = rng.normal(size=(self.tables, d, 8)) * self.scale
-        # scaling by the largest component first keeps the norm of very large or small vectors finite
-        unit = x / np.abs(x).max(1, keepdims=True)
-        unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+        unit = scaled(x)
+        unit = unit / np.sqrt((unit ** 2).cumsum(1)[:, -1:])
+        # summed in the order of the components: a vector has the same cells in whatever batch it stands
+        points_at = np.zeros((len(x), self.tables * 8))
+        planes = self.planes[d].transpose(1, 0, 2).reshape(d, -1)
+        for k in range(d):
+            points_at += unit[:, k:k + 1] * planes[k]
         out = np.empty((len(x), self.tables, 1 + self.neighbours), np.int64)
         length = d * int(self.mixer[0]) & ((1 << 62) - 1)
         for t in range(self.tables):
-            y = unit @ self.planes[d][t]
+            y = points_at[:, 8 * t:8 * t + 8]
             own = nearest_e8(y)
-            gain = (y - own) @ self.around.T
+            off = y - own
+            gain = sum(off[:, k:k + 1] * self.around[None, :, k] for k in range(8))
             best = np.argpartition(-gain, self.neighbours - 1, axis=1)[:, :self.neighbours]
             points = np.concatenate([own[:, None], own[:, None] + self.around[best]], axis=1)
             codes = (np.rint(points * 2).astype(np.int64) * self.mixer).sum(-1) + length
@@ -222,7 +232,7 @@ def link_vectors(classes: DataFrame, threshold: float = 0.9, tables: int = TABLE
                     # something to compare: a visitor besides the one that stands here
                     if len(at) < 2 or not (role[a:b][at] & 1).any():
                         continue
-                    x = np.frombuffer(b"".join(data[k] for k in at), np.float64).reshape(len(at), -1)
+                    x = scaled(np.frombuffer(b"".join(data[k] for k in at), np.float64).reshape(len(at), -1))
                     got = _links(uid[a:b][at], copies[a:b][at], x, role[a:b][at], lattice, threshold,
                                  int(keys[0][a] % 1024) // 64)
                     if got:
