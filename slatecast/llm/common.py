@@ -12,13 +12,18 @@ from pyspark.sql import Window as W
 
 from slatecast.session import store
 
-__all__ = ["hash60", "in_order", "positions", "runs", "store", "table"]
+__all__ = ["hash60", "in_order", "positions", "quoted", "runs", "store", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, also with dots in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def hash60(col: Column) -> Column:
     """The first 60 bits of MD5 as a long: the same in every engine and run."""
     return F.conv(F.substring(F.md5(col), 1, 15), 16, 10).cast("long")

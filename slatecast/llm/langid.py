@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecast.llm.common import hash60, store
+from slatecast.llm.common import hash60, quoted, store
 from slatecast.llm.licenses import words_of
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -130,7 +130,7 @@ def identify(rows: DataFrame, model: np.ndarray, text: Column, declared: Column,
                 F.coalesce(code(declared), F.lit("")).alias("declared"),
                 F.pmod(F.xxhash64(text.cast("string")), F.lit(SALTS)).alias("salt"),
                 text.cast("string").alias("text")]
-    doc = F.struct(*[rows[c] for c in (keep or rows.columns)]).alias("doc")
+    doc = F.struct(*[rows[quoted(c)].alias(c) for c in (keep or rows.columns)]).alias("doc")
     scored = rows.select(*([] if wide else [doc]), *evidence)
     names = [c for c in scored.columns if c != "text"]
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecast.llm.common import store
+from slatecast.llm.common import quoted, store
 
 AVERAGE, LONG_WORDS, SALT_ROWS = 3, 50, 2000
 _M = (1 << 64) - 1
@@ -134,7 +134,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ave
     key = [F.coalesce(docs[doc_id].cast("long"), F.lit((1 << 63) - 1)).alias("key"),
            F.xxhash64(docs[text]).alias("tag")]
     place = docs.columns.index(text)
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), *key)
+    whole = docs.select(F.struct(*[docs[quoted(c)].alias(c) for c in docs.columns]).alias("doc"), *key)
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_part in parts:

@@ -14,8 +14,10 @@ source in one task: order hashes are cut into about sqrt(rows) buckets, whose
 sums are added up first, and each bucket is then summed by itself.
 
 Defined cases: a null or empty text has size 0 and takes 0 words; a null source
-is one source, last in order; a null doc_id is an id of its own; repeated rows
-are separate documents; an empty table gives an empty result. The document in
+is one source, last in order; a null doc_id is an id of its own; rows of one
+doc_id stand in the order of their size, then of a hash of their whole text, and
+equal rows are separate documents; an empty table gives an empty result; other
+columns may have any names. The document in
 which a source's demand ends is taken in part (its first words).
 """
 
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slatecast.llm.common import hash60, store
+from slatecast.llm.common import hash60, quoted, store
 
 #: Words of the size rule: runs of anything but blanks and the five control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,11 +105,11 @@ def curriculum(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: S
     place in the source's word stream, ``position`` and ``again`` the times of
     its first and second reading (null if it isn't read).
     """
-    carried = docs.select(F.struct(*[docs[c] for c in (keep or docs.columns)]).alias("doc"),
+    carried = docs.select(F.struct(*[docs[quoted(c)].alias(c) for c in (keep or docs.columns)]).alias("doc"),
                           docs[source].cast("string").alias("source"), words(docs[text]).alias("size"),
-                          docs[doc_id].cast("string").alias("id"))
+                          docs[doc_id].cast("string").alias("id"), F.xxhash64(docs[text]).alias("mark"))
     carried = carried.withColumn("order", hash60(F.coalesce("id", F.lit(""))))
-    carried = carried.select("doc", "size", "id", "order", F.coalesce("source", F.lit("")).alias("source"),
+    carried = carried.select("doc", "size", "id", "mark", "order", F.coalesce("source", F.lit("")).alias("source"),
                              F.col("source").isNull().alias("unnamed"))
     wide = keep is None
     narrow = store(carried.drop("doc") if wide else carried, "mix-sizes")
@@ -129,7 +131,7 @@ def curriculum(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: S
     body = carried if wide else narrow
     keys = ["source", "unnamed", "bucket"]
     body = body.withColumn("bucket", bucket).join(offsets, keys)
-    inside = W.partitionBy(*keys).orderBy("order", "id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys).orderBy("order", "id", "size", "mark").rowsBetween(W.unboundedPreceding, -1)
     body = body.withColumn("first", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
 
     quota = F.floor(F.col("target") + F.lit(0.5)).cast("long")

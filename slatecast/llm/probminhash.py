@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.llm.common import runs, store
+from slatecast.llm.common import quoted, runs, store
 from slatecast.llm.components import components
 
 WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 40, 8, 2048
@@ -338,8 +338,8 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, row
              text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of their text's group (rows without a doc_id or words stay)."""
     digested, label = _labelled(docs, least, bands, rows, size, text, doc_id)
-    gone = digested.join(label, "digest").filter("id <> class_id").select(
-        F.col("id").alias("_gone_id"), F.col("tag").alias("_gone_tag"))
-    same = (docs[doc_id].cast("long") == F.col("_gone_id")) & (
-        F.xxhash64(docs[text].cast("string")) == F.col("_gone_tag"))
-    return docs.hint("merge").join(gone, same, "left_anti").select(*docs.columns)
+    gone = digested.join(label, "digest").filter("id <> class_id").select("id", "tag")
+    # whole rows travel as one column, so that no name of theirs can clash
+    whole = docs.select(F.struct(*[docs[quoted(c)].alias(c) for c in docs.columns]).alias("doc"),
+                        docs[doc_id].cast("long").alias("id"), F.xxhash64(docs[text].cast("string")).alias("tag"))
+    return whole.hint("merge").join(gone, ["id", "tag"], "left_anti").select("doc.*")

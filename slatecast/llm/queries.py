@@ -293,7 +293,7 @@ step as (
   select b.conv_id, b.pos, hop.state as before, take.state, case when initial = take_initial then 'K' else 'R' end as edit,
     hop.audit, hop.lines, case when initial = take_initial then 0 else 1 end + case fault when 'truncated' then 5 else 0 end
       + 5 * length(hop.audit) as cost,
-    case when initial = take_initial then role else take.role end || ':' || text as line
+    case when initial = take_initial then b.role else take.role end || ':' || text as line
   from f b, hop, (select mid, initial as take_initial, role, state from take) take
   where hop.mid = take.mid and fault in ('sound', 'truncated') and (initial = take_initial or take.role is not null)
   union all

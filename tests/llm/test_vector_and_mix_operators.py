@@ -252,7 +252,7 @@ def test_arrival_inverts_many_knots(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_twins_agree(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     theirs = con.execute(ORACLE_SQL[name]).to_arrow_table()
     mine = QUERIES[name](spark, SF).toArrow()
