@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatecast.llm import langid, line_chunks, mixing, probminhash, wfst
-from slatecast.llm.common import store, table
+from slatecast.llm.common import quoted, store, table
 from slatecast.llm.queries import TOKENIZERS
 
 #: SQL can express neither the language model nor the encoder.
@@ -25,13 +25,13 @@ ORACLE_SQL = None
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify(docs, langid.fit(docs), docs["text"], docs["lang"], docs["source"], F.lit("source"))
     kept = found.filter("accepted")
-    return kept.select(*[F.col("lang") if c == "lang" else F.col(f"doc.`{c}`") for c in docs.columns])
+    return kept.select(*[F.col("lang") if c == "lang" else F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = line_chunks.dedup_lines(docs)
     length = F.when(F.col("n_removed") > 0, F.length("doc.text")).otherwise(F.col("doc.n_chars")).cast("long")
-    return cut.select(*[length.alias(c) if c == "n_chars" else F.col(f"doc.`{c}`") for c in docs.columns])
+    return cut.select(*[length.alias(c) if c == "n_chars" else F.col(f"doc.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
