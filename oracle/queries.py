@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import planes, studies
+from oracle import fitting, planes, studies
 from oracle.models import compose
 from slatecast.functions.pitch_flags import FLAGS
 from slatecast.plans import features as f
@@ -64,6 +64,6 @@ FINAL |= {
 
 def statements() -> dict[str, str]:
     own, small = studies.sized(studies.OWN), studies.sized(studies.SMALL_GROUPS)
-    out = {name: compose(text, own) for name, text in {**FINAL, **studies.FINAL, **planes.FINAL}.items()}
+    out = {name: compose(text, own) for name, text in {**FINAL, **studies.FINAL, **planes.FINAL, **fitting.FINAL}.items()}
     out |= {f"{name}_small_groups": compose(studies.FINAL[name], small) for name in studies.SIZED}
     return out

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from slatecast.plans import evaluation
 from slatecast.plans import model as training
+from slatecast.plans.boosting import BoostParams, fit_boosted
 from slatecast.plans.quality import only_in_first
 from slatecast.plans.warehouse import StarWarehouse
 from slatecast.session import scratch_path, store
@@ -186,6 +187,37 @@ def _scored(spark, sf_dir) -> DataFrame:
     return scored(spark, sf_dir)
 
 
+def _weighted_games(spark, sf_dir) -> DataFrame:
+    """Batter games as training rows: two measures that may be missing, and a weight."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    return store(w.fct_batter_game.select(
+        "game_pk", "batter_id", F.col("has_hit").cast("int").alias("has_hit"), "batting_order_slot", "contact_pct",
+        (1 + F.col("game_pk") % 3 / 2).alias("weight")), "weighted-games")
+
+
+#: Small enough for a twin in SQL: three rounds of four leaves on two features.
+TWO_FEATURES = ["batting_order_slot", "contact_pct"]
+THREE_ROUNDS = BoostParams(rounds=3, step=0.3, leaves=4, min_rows=20, l2=1.0, bins=8, row_share=0.8)
+
+
+@query
+def boosted_rounds(spark, sf_dir):
+    """Chance of a hit from three boosting rounds: binned splits, missing sides, rows drawn by hash."""
+    games = _weighted_games(spark, sf_dir)
+    model = fit_boosted(games, TWO_FEATURES, "has_hit", "weight", ["game_pk", "batter_id"], THREE_ROUNDS)
+    return model.score(games, "p").select("game_pk", "batter_id", F.round("p", 6).alias("p"))
+
+
+@query
+def logistic_fit(spark, sf_dir):
+    """Coefficients of the weighted logistic baseline on standardised, median-filled features."""
+    games = _weighted_games(spark, sf_dir)
+    fitted = training.fit_logistic(games.withColumn("y", F.col("has_hit").cast("double")), TWO_FEATURES, "y", "weight", 0.01)
+    last = fitted.pipeline.stages[-1]
+    rows = [("intercept", float(last.intercept)), *zip(TWO_FEATURES, map(float, last.coefficients))]
+    return spark.createDataFrame(rows, "term string, value double").select("term", F.round("value", 4).alias("value"))
+
+
 @query
 def isotonic_map(spark, sf_dir):
     """Rate that the monotone map gives each of the stand-in scores."""

@@ -7,17 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slatecast.functions.rates import at_least_one, clip
 from slatecast.operators.ranks import quantiles
 from slatecast.plans import evaluation as ev
-from slatecast.session import scratch_path, store
+from slatecast.plans.boosting import Boosted, BoostParams, fit_boosted
+from slatecast.session import store
 
 # Feature lists of the four models.
 FEATURES: dict[str, list[str]] = {
@@ -63,16 +64,9 @@ class Params:
     tail_days: int = 60
     half_life_days: int = 730
     c: float = 1.0
-    gbt_rounds: int = 2000        # at most; patience ends them
-    gbt_patience: int = 100
-    gbt_step: float = 0.03
-    gbt_depth: int = 6
-    gbt_min_rows: int = 100
-    epa_rounds: int = 400
-    epa_step: float = 0.05
-    epa_depth: int = 5
-    epa_min_rows: int = 200
-    seed: int = 7
+    gbt: BoostParams = BoostParams(rounds=2000, patience=100, step=0.03, leaves=63, min_rows=100, l2=1.0,
+                                   row_share=0.8, col_share=0.8)    # patience ends the rounds
+    epa: BoostParams = BoostParams(rounds=400, step=0.05, leaves=31, min_rows=200)
 
 
 def assert_contract(df: DataFrame) -> None:
@@ -131,25 +125,28 @@ def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     return {c: found.get(c, 0.0) for c in cols}
 
 
-def fill_stage(fill: dict[str, float], indicators: bool = False) -> SQLTransformer:
-    """Persistable imputation: ``c`` -> ``c__x``, and ``c__m`` = 1 where it was NULL."""
+def fill_stage(fill: dict[str, float]) -> SQLTransformer:
+    """Persistable imputation: ``c`` -> ``c__x``."""
     parts = [f"coalesce(cast(`{c}` as double), cast({v!r} as double)) as `{c}__x`" for c, v in fill.items()]
-    if indicators:
-        parts += [f"cast(`{c}` is null as double) as `{c}__m`" for c in fill]
     return SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")
 
 
 @dataclass
 class Fitted:
-    """A fitted pipeline and how to read its one output number."""
+    """A fitted pipeline that gives one probability."""
 
     pipeline: PipelineModel
-    kind: str          # classifier | regressor
 
     def score(self, df: DataFrame, out: str) -> DataFrame:
         done = self.pipeline.transform(df)
-        value = vector_to_array("_prob")[1] if self.kind == "classifier" else F.col("_pred")
-        return done.select(*[F.col(c) for c in df.columns], value.alias(out))
+        return done.select(*[F.col(c) for c in df.columns], vector_to_array("_prob")[1].alias(out))
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        self.pipeline.write().session(spark).save(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Fitted:
+        return Fitted(PipelineModel.read().session(spark).load(path))
 
 
 def fit_logistic(df: DataFrame, cols: Sequence[str], y: str, w: str, c: float = 1.0,
@@ -169,7 +166,7 @@ def fit_logistic(df: DataFrame, cols: Sequence[str], y: str, w: str, c: float =
     assembled = assembler.transform(filler.transform(df)).select("_v", y, w)
     scaling = scaler.fit(assembled)
     fitted = logistic.fit(scaling.transform(assembled).select("_s", y, w))
-    return Fitted(PipelineModel([filler, assembler, scaling, fitted]), "classifier")
+    return Fitted(PipelineModel([filler, assembler, scaling, fitted]))
 
 
 def expand_binomial(df: DataFrame, w: str) -> DataFrame:
@@ -187,73 +184,18 @@ def fit_ppa(df: DataFrame, cols: Sequence[str], w: str, c: float = 1.0) -> Fitte
     return fit_logistic(trials, cols, "_y", "_w", c, fill=medians(df, cols))
 
 
-def _tree_inputs(df: DataFrame, cols: Sequence[str]) -> tuple[SQLTransformer, VectorAssembler]:
-    filler = fill_stage(medians(df, cols), indicators=True)
-    names = [f"{c}__{k}" for k in ("x", "m") for c in cols]
-    return filler, VectorAssembler(inputCols=names, outputCol="_v")
+#: What names a row when boosting draws rows by hash.
+ROW_KEY = ("game_pk", "batter_id")
 
 
-def checkpointed(spark: SparkSession) -> None:
-    """Boosting cuts the lineage of its residuals in the checkpoint folder every few rounds."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "boosting"))
+def fit_epa(df: DataFrame, cols: Sequence[str], w: str, params: Params) -> Boosted:
+    """Expected plate appearances by boosted regression trees."""
+    return fit_boosted(df, cols, "pa", w, ROW_KEY, params.epa, logistic=False)
 
 
-def fit_epa(df: DataFrame, cols: Sequence[str], w: str, params: Params) -> Fitted:
-    """Expected plate appearances by boosted regression trees."""
-    filler, assembler = _tree_inputs(df, cols)
-    checkpointed(df.sparkSession)
-    trees = GBTRegressor(featuresCol="_v", labelCol="pa", weightCol=w, predictionCol="_pred",
-                         maxIter=params.epa_rounds, stepSize=params.epa_step, maxDepth=params.epa_depth,
-                         minInstancesPerNode=params.epa_min_rows, seed=params.seed)
-    ready = store(assembler.transform(filler.transform(df)).select(
-        "_v", F.col("pa").cast("double").alias("pa"), w), "epa-fit")
-    return Fitted(PipelineModel([filler, assembler, trees.fit(ready)]), "regressor")
-
-
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the lowest loss before ``patience`` rounds without a gain, and whether patience ran out."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        if i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_gbt(fit: DataFrame, tail: DataFrame, cols: Sequence[str], w: str, params: Params) -> Fitted:
-    """Direct boosted classifier; rounds stop when the held-out tail stops gaining.
-
-    MLlib itself stops at the first round that gains too little. Here whole
-    runs of growing length are fitted, their loss on the tail is read round by
-    round (one number each), and the run is repeated up to the best round: the
-    same seed grows the same first trees.
-    """
-    filler, assembler = _tree_inputs(fit, cols)
-    checkpointed(fit.sparkSession)
-
-    def ready(df: DataFrame, name: str) -> DataFrame:
-        return store(assembler.transform(filler.transform(df)).select(
-            "_v", F.col("has_hit").cast("double").alias("has_hit"), F.col(w).cast("double").alias(w)), name)
-
-    learn, held = ready(fit, "boost-fit"), ready(tail.withColumn(w, F.lit(1.0)), "boost-tail")
-    trees = GBTClassifier(featuresCol="_v", labelCol="has_hit", weightCol=w, stepSize=params.gbt_step,
-                          maxDepth=params.gbt_depth, minInstancesPerNode=params.gbt_min_rows, subsamplingRate=0.8,
-                          featureSubsetStrategy="0.8", seed=params.seed, predictionCol="_label") \
-        .setProbabilityCol("_prob").setRawPredictionCol("_raw")
-    if held.isEmpty():
-        return Fitted(PipelineModel([filler, assembler, trees.setMaxIter(params.gbt_rounds).fit(learn)]), "classifier")
-    rounds = min(params.gbt_rounds, params.gbt_patience + 20)
-    while True:
-        model = trees.setMaxIter(rounds).fit(learn)
-        best, over = best_round(model.evaluateEachIteration(held), params.gbt_patience)
-        if over or rounds >= params.gbt_rounds:
-            break
-        rounds = min(params.gbt_rounds, 2 * rounds)
-    if best < rounds:
-        model = trees.setMaxIter(best).fit(learn)
-    return Fitted(PipelineModel([filler, assembler, model]), "classifier")
+def fit_gbt(fit: DataFrame, tail: DataFrame, cols: Sequence[str], w: str, params: Params) -> Boosted:
+    """Direct boosted classifier; rounds stop when the held-out tail stops gaining."""
+    return fit_boosted(fit, cols, "has_hit", w, ROW_KEY, params.gbt, held=tail)
 
 
 def compose_structural(p_pa: Column | str, e_pa: Column | str) -> Column:
@@ -283,7 +225,7 @@ class HitModel:
     """Either family behind one ``predict``: raw score, isotonic map, clip."""
 
     kind: str                                  # structural | gbm
-    parts: dict[str, Fitted]
+    parts: dict[str, Fitted | Boosted]
     iso: IsotonicRegressionModel | None = None
 
     def predict_raw(self, df: DataFrame, out: str) -> DataFrame:
@@ -398,7 +340,7 @@ def save_model(spark: SparkSession, model: HitModel, root: str, exported_at: str
     version = (production(spark, root) or {"version": 0})["version"] + 1
     folder = f"{root}/v{version}"
     for name, part in model.parts.items():
-        part.pipeline.write().save(f"{folder}/{name}")
+        part.write(spark, f"{folder}/{name}")
     if model.iso is not None:
         model.iso.write().save(f"{folder}/iso")
     row = [(MODEL_NAME, version, model.kind, model.iso is not None, exported_at)]
@@ -426,8 +368,7 @@ def load_model(spark: SparkSession, root: str) -> tuple[HitModel, dict]:
         raise FileNotFoundError(f"no model version under {root}")
     folder = f"{root}/v{meta['version']}"
     names = {"gbm": ["gbm"], "structural": ["ppa", "epa"]}[meta["kind"]]
-    parts = {n: Fitted(PipelineModel.load(f"{folder}/{n}"), "regressor" if n == "epa" else "classifier")
-             for n in names}
+    parts = {n: (Fitted if n == "ppa" else Boosted).load(spark, f"{folder}/{n}") for n in names}
     iso = IsotonicRegressionModel.load(f"{folder}/iso") if meta["calibrated"] else None
     return HitModel(meta["kind"], parts, iso), meta
 

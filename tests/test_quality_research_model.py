@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from slatecast.plans import evaluation as ev
 from slatecast.plans import model, output, quality, research
+from slatecast.plans.boosting import BoostParams
 from slatecast.schemas import RAW
 from slatecast.sources import sinks
 
@@ -179,7 +180,9 @@ def test_isotonic_is_monotone_and_clamps(spark):
 
 def test_train_save_score_backtest(spark, warehouse, tmp_path):
     # the smallest tables end in spring 2022
-    params = model.Params(train_seasons=(2021,), calib_season=2022, test_seasons=(2022,), gbt_rounds=3, gbt_depth=2, epa_rounds=3, epa_depth=2, gbt_min_rows=5, epa_min_rows=5)
+    params = model.Params(train_seasons=(2021,), calib_season=2022, test_seasons=(2022,),
+                          gbt=BoostParams(rounds=3, leaves=4, min_rows=5, l2=1.0, row_share=0.8, col_share=0.8, patience=100),
+                          epa=BoostParams(rounds=3, leaves=4, min_rows=5))
     frame = warehouse.feat_batter_game
     result = model.train(frame, params)
     assert {r["model"] for r in result.board.collect()} == {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from slatecast.operators import sketches
 from slatecast.operators.asof import asof_join, interval_join, validity
 from slatecast.operators.ranks import quantiles
+from slatecast.plans.boosting import Boosted, BoostParams, fit_boosted
 
 
 def events(spark, n=600, seed=1):
@@ -57,3 +58,39 @@ def test_sketches_merge_within_their_error(spark):
     off = sketches.edge_ranks(rows, ["g"], "v", edges).select(F.max(F.greatest(
         F.col("below") / F.col("n") - F.col("edge") / 10, F.col("edge") / 10 - F.col("upto") / F.col("n")))).first()[0]
     assert off <= 2 * sketches.rank_error() + 0.001
+
+
+# ---- boosting -------------------------------------------------------------------
+
+def test_missing_values_take_the_better_side_and_growth_is_best_first(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(2000):
+        a = None if i % 5 == 0 else rng.randrange(200) / 200
+        # missing behaves like large, and every step is much larger than the one before
+        y = 5000.0 if a is None else 4.0 ** sum(a > e for e in (0.5, 0.75, 0.875, 0.94, 0.97))
+        rows.append((i, a, y, 1.0))
+    df = spark.createDataFrame(rows, "id long, a double, y double, w double")
+    one = BoostParams(rounds=1, step=1.0, leaves=6, min_rows=5, bins=200)
+    model = fit_boosted(df, ["a"], "y", "w", ["id"], one, logistic=False)
+    t = model.trees
+    assert len(t.roots) == 1 and sum(f < 0 for f in t.feature) == 6 and t.depth >= 4      # a chain, not a level
+    got = {r.id: r.p for r in model.score(df, "p").collect()}
+    assert max(abs(got[i] - y) for i, a, y, _ in rows if a is None) < 1e-6
+    assert not t.missing_left[0]
+
+
+def test_model_file_and_sampling(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.random(), None if i % 3 else rng.random(), float(rng.random() < 0.3), 1.0 + i % 2) for i in range(800)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double, w double")
+    p = BoostParams(rounds=4, leaves=5, min_rows=10, row_share=0.7, col_share=0.5)
+    first, again = (fit_boosted(d, ["a", "b"], "y", "w", ["id"], p) for d in (df, df.repartition(7)))
+    assert first.trees.feature == again.trees.feature and first.trees.value == pytest.approx(again.trees.value)
+    first.write(spark, str(tmp_path / "m"))
+    loaded = Boosted.load(spark, str(tmp_path / "m"))
+    assert sorted(map(tuple, loaded.score(df, "p").collect())) == sorted(map(tuple, first.score(df, "p").collect()))
+    with pytest.raises(ValueError):
+        fit_boosted(df.limit(0), ["a"], "y", "w", ["id"], p)
+    flat = fit_boosted(df.withColumn("a", F.lit(None).cast("double")), ["a"], "y", "w", ["id"], p)
+    assert flat.trees.roots == [] and flat.score(df, "p").select("p").distinct().count() == 1

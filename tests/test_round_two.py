@@ -1,11 +1,13 @@
 """Reads of loads that disagree, pruned slices, boosting with patience, grading once, one latest run."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from slatecast.plans import model, output
+from slatecast.plans.boosting import BoostParams, best_round
 from slatecast.schemas import RAW
 from slatecast.sources import readers, sinks
 from slatecast.streaming import jobs
@@ -52,9 +54,9 @@ def test_segments_cover_every_day_once():
 
 
 def test_patience():
-    assert model.best_round([5, 4, 3, 3.5, 3.4, 2], 2) == (3, True)
-    assert model.best_round([5, 4, 3, 3.5, 3.4, 2], 4) == (6, False)
-    assert model.best_round([1], 1) == (1, False)
+    assert best_round([5, 4, 3, 3.5, 3.4, 2], 2) == (3, True)
+    assert best_round([5, 4, 3, 3.5, 3.4, 2], 4) == (6, False)
+    assert best_round([1], 1) == (1, False)
 
 
 def test_boosting_keeps_many_trees_and_gains(spark):
@@ -63,13 +65,13 @@ def test_boosting_keeps_many_trees_and_gains(spark):
     df = df.withColumns({"has_hit": (F.col("u") < F.lit(1.0) / (1 + F.exp(2 - F.col("x1") * F.col("x2") / 2))).cast("int"),
                          "weight": F.lit(1.0)})
     fit, tail = df.filter("id % 4 > 0"), df.filter("id % 4 = 0")
-    params = model.Params(gbt_rounds=40, gbt_patience=8, gbt_depth=3, gbt_min_rows=10, gbt_step=0.1)
-    trees = model.fit_gbt(fit, tail, ["x1", "x2"], "weight", params).pipeline.stages[-1]
-    assert len(trees.trees) > 5
-    first = model.fit_gbt(fit, tail, ["x1", "x2"], "weight", model.Params(
-        gbt_rounds=1, gbt_patience=8, gbt_depth=3, gbt_min_rows=10, gbt_step=0.1))
+    fit, tail = (d.withColumns({"game_pk": F.col("id"), "batter_id": F.lit(1)}) for d in (fit, tail))
+    shape = BoostParams(rounds=25, patience=8, leaves=6, min_rows=10, step=0.1, l2=1.0)
+    many = model.fit_gbt(fit, tail, ["x1", "x2"], "weight", model.Params(gbt=shape))
+    assert len(many.trees.roots) > 5
+    first = model.fit_gbt(fit, tail, ["x1", "x2"], "weight", model.Params(gbt=replace(shape, rounds=1)))
     loss = [float(m.score(tail, "p").agg(F.avg(-F.when(F.col("has_hit") == 1, F.ln("p")).otherwise(F.ln(1 - F.col("p"))))).first()[0])
-            for m in (first, model.Fitted(model.PipelineModel([*first.pipeline.stages[:-1], trees]), "classifier"))]
+            for m in (first, many)]
     assert loss[1] < loss[0] - 0.01
 
 
