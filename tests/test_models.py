@@ -1,9 +1,11 @@
 """Hand-made cases of the model layer."""
 
+import duckdb
 import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
+from oracle.models import MODELS
 from slatecast.functions.pitch_flags import FLAGS, pitch_flags
 from slatecast.plans import features, intermediate, marts, output, slate, staging
 from slatecast.schemas import RAW
@@ -51,6 +53,59 @@ def test_flags_edges_and_nulls(spark):
     assert got[8]["is_barrel"]                      # window floor of 8 degrees at 110 mph
 
 
+# description, event, zone, result, speed, angle, ball type -> the flags that are true, and those that are unknown
+FLAG_TABLE = [
+    (("swinging_strike", None, 1, "S", None, None, None), "swing whiff in_zone", "hit k bb"),
+    (("swinging_strike_blocked", "strikeout", 14, "S", None, None, None), "swing whiff out_zone chase pa_end k ab", ""),
+    (("foul", None, 9, "S", None, None, None), "swing contact in_zone", "hit k bb"),
+    (("foul_bunt", None, 10, "S", None, None, None), "swing contact", "hit k bb"),
+    (("missed_bunt", None, 11, "S", None, None, None), "out_zone", "hit k bb"),
+    (("ball", "walk", 15, "B", None, None, None), "pa_end bb", ""),
+    (("hit_by_pitch", "hit_by_pitch", None, "B", None, None, None), "pa_end", "in_zone out_zone"),
+    ((None, None, None, None, 99.0, 28.0, "line_drive"), "",
+     "swing contact whiff in_zone out_zone chase hit k bb bip hard_hit sweet_spot line_drive barrel"),
+    (("hit_into_play", "home_run", 5, "X", 98.0, 26.0, "fly_ball"),
+     "swing contact in_zone pa_end hit ab bip hard_hit sweet_spot barrel", ""),
+    (("hit_into_play", "home_run", 5, "X", 98.0, 30.0, "fly_ball"),
+     "swing contact in_zone pa_end hit ab bip hard_hit sweet_spot barrel", ""),
+    (("hit_into_play", "double", 5, "X", 98.0, 25.9, "line_drive"),
+     "swing contact in_zone pa_end hit ab bip hard_hit sweet_spot line_drive", ""),
+    (("hit_into_play", "triple", 5, "X", 97.9, 28.0, "fly_ball"),
+     "swing contact in_zone pa_end hit ab bip hard_hit sweet_spot", ""),
+    (("hit_into_play", "single", 5, "X", 94.9, 32.1, "fly_ball"), "swing contact in_zone pa_end hit ab bip", ""),
+    (("hit_into_play", "single", 5, "X", 100.0, 33.0, "fly_ball"),
+     "swing contact in_zone pa_end hit ab bip hard_hit barrel", ""),
+    (("hit_into_play", "single", 5, "X", 120.0, 50.0, "fly_ball"),
+     "swing contact in_zone pa_end hit ab bip hard_hit barrel", ""),
+    (("hit_into_play", "single", 5, "X", 120.0, 50.1, "fly_ball"), "swing contact in_zone pa_end hit ab bip hard_hit", ""),
+    (("hit_into_play", "single", 5, "X", 120.0, 7.9, "fly_ball"), "swing contact in_zone pa_end hit ab bip hard_hit", ""),
+    (("hit_into_play_no_out", "field_error", 5, "X", None, 28.0, None),
+     "swing contact in_zone pa_end ab bip sweet_spot", "hard_hit line_drive barrel"),
+    (("hit_into_play_score", "sac_fly", 5, "X", 110.0, None, "fly_ball"),
+     "swing contact in_zone pa_end bip hard_hit", "sweet_spot barrel"),
+    (("hit_into_play", "sac_bunt", 5, "X", 40.0, -40.0, "bunt"), "swing contact in_zone pa_end bip", ""),
+    (("hit_into_play", "sac_fly_double_play", 5, "X", 80.0, 40.0, "fly_ball"), "swing contact in_zone pa_end bip", ""),
+    (("foul_tip", "catcher_interf", 5, "S", None, None, None), "swing contact in_zone pa_end", ""),
+    (("called_strike", "field_out", 5, "S", None, None, "line_drive"), "in_zone pa_end ab", ""),
+]
+
+
+def test_flags_of_a_hand_made_table(spark):
+    """The job and its SQL twin against flags written by hand."""
+    names = ("description", "events", "zone", "type", "launch_speed", "launch_angle", "bb_type")
+    staged = pitches(spark, *[pitch(at_bat_number=i, **dict(zip(names, row))) for i, (row, _, _) in enumerate(FLAG_TABLE)])
+    con = duckdb.connect()
+    con.register("staged", staged.toArrow())
+    twin = con.execute(f"select at_bat_number, {', '.join(FLAGS)} from ({MODELS['flags'].format(stg_pitches='staged')})")
+    for rows in ([tuple(r) for r in pitch_flags(staged).select("at_bat_number", *FLAGS).collect()], twin.fetchall()):
+        assert len(rows) == len(FLAG_TABLE)
+        for number, *flags in rows:
+            _, true, unknown = FLAG_TABLE[number]
+            got = {n.removeprefix("is_"): v for n, v in zip(FLAGS, flags)}
+            assert {n for n, v in got.items() if v} == set(true.split()), FLAG_TABLE[number]
+            assert {n for n, v in got.items() if v is None} == set(unknown.split()), FLAG_TABLE[number]
+
+
 def test_batter_game_zero_denominators_and_tie(spark):
     rows = [pitch(at_bat_number=1, pitch_number=1, p_throws="R", description="ball", type="B", zone=None),
             pitch(at_bat_number=1, pitch_number=2, p_throws="R", description="ball", type="B", events="walk"),
