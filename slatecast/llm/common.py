@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from slatecast.session import store
 
-__all__ = ["hash60", "in_order", "positions", "quoted", "runs", "store", "table"]
+__all__ = ["hash60", "in_order", "join_hot", "positions", "quoted", "runs", "store", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,28 @@ def runs(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+#: A key may send so many rows to one task; beyond, at most HOT_KEYS keys are hot.
+HOT_ROWS, HOT_KEYS = 2000, 10_000
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``facts``, one row per key with its number ``n`` of rows, where keys may be hot.
+
+    A key with more than max(HOT_ROWS, all rows / HOT_KEYS) rows is dealt out by
+    a hash of the columns ``spread``, its fact repeated for every part. There
+    are fewer than HOT_KEYS such keys, whatever the size of the tables, so the
+    list of them may be broadcast. ``facts`` should be a stored table.
+    """
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    parts = F.ceil(F.col("n") / F.lit(float(max(HOT_ROWS, total // HOT_KEYS)))).cast("int")
+    sized = facts.withColumn("_parts", F.greatest(parts, F.lit(1)))
+    hot = sized.filter("_parts > 1").select(*keys, "_parts")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "_part", F.pmod(F.xxhash64(*spread), F.coalesce("_parts", F.lit(1)).cast("long")).cast("int")).drop("_parts")
+    sized = sized.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return dealt.join(sized, [*keys, "_part"], how).drop("_part")
+
+
 def in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """``df`` written in the order of ``keys`` (nulls first) with its place ``_at``.
 

@@ -38,10 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.llm.common import quoted, runs, store
+from slatecast.llm.common import join_hot, quoted, runs, store
 from slatecast.llm.components import components
 
-WORDS, SIMILARITY, BANDS, ROWS, BLOCK = 5, 0.8, 40, 8, 2048
+WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 40, 8
+#: Members of a star in one task; classes, and shingles of theirs, in one block.
+STAR_ROWS, BLOCK, BLOCK_SHINGLES = 2000, 2048, 4_000_000
 _WORD = re.compile(r"\w+")
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _MULT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
@@ -151,33 +153,41 @@ def weighted(found: list[str], size: int = WORDS) -> Counter:
     return Counter(zip(*(found[k:] for k in range(size))))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, least: float, size: int) -> DataFrame:
-    """Pairs (a, b) whose texts are similar enough; texts (id, tag, text) are fetched by two joins."""
+def _verified(stars: DataFrame, texts: DataFrame, classes: DataFrame, least: float, size: int) -> DataFrame:
+    """Pairs (a, b) of ``stars`` whose texts are similar enough; texts are (id, tag, text).
+
+    A star's members go to parts of at most STAR_ROWS, each of which gets the
+    centre's text once, ahead of them; so a task holds one centre and passes
+    the members one by one.
+    """
+    sizes = stars.groupBy("a").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("parts"))
+    sizes = store(sizes, "star-sizes")
+    place = classes.select(F.col("node"), "id", "tag")
+    # merge joins at every size: both use one exchange of the texts
+    read = texts.hint("merge")
+    members = stars.join(sizes, "a").join(place.withColumnRenamed("node", "b"), "b").select(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "id", "tag")
+    members = read.join(members, ["id", "tag"]).select("a", "part", "b", "text")
+    centres = read.join(sizes.join(place.withColumnRenamed("node", "a"), "a"), ["id", "tag"]).select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(-1).cast("long").alias("b"), "text")
+    cells = members.unionByName(centres).repartition("a", "part").sortWithinPartitions("a", "part", "b")
+
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, Counter] = {}      # the centre of a star serves many pairs in a row
+        centre: Counter = Counter()
         for whole in parts:
             for at in range(0, whole.num_rows, 500):
                 part = whole.slice(at, 500)
-                out = []
-                for i, (a, ta, tb) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(),
-                                                    part.column(3).to_pylist())):
-                    if a not in kept:
-                        kept = {a: weighted(words(ta), size)}
-                    if similarity(kept[a], weighted(words(tb), size)) >= least:
-                        out.append(i)
-                take = pa.array(out, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take)],
+                found = []
+                for a, b, text in zip(*(part.column(k).to_pylist() for k in (0, 2, 3))):
+                    mine = weighted(words(text), size)
+                    if b < 0:
+                        centre = mine
+                    elif similarity(centre, mine) >= least:
+                        found.append((a, b))
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(2)],
                                                  names=["a", "b"])
 
-    for end in "ab":
-        place = classes.select(F.col("node").alias(end), F.col("id").alias(f"id_{end}"), F.col("tag").alias(f"tag_{end}"))
-        pairs = pairs.join(place, end)
-    for end in "ab":
-        found = texts.select(F.col("id").alias(f"id_{end}"), F.col("tag").alias(f"tag_{end}"),
-                             F.col("text").alias(f"t{end}"))
-        # merge joins at every size: both use one exchange of the texts
-        pairs = pairs.join(found.hint("merge"), [f"id_{end}", f"tag_{end}"])
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return cells.mapInArrow(check, "a long, b long")
 
 
 def _close(i: int, j: np.ndarray, sets: list, totals: np.ndarray, mark: np.ndarray, least: float) -> np.ndarray:
@@ -206,8 +216,8 @@ def _close(i: int, j: np.ndarray, sets: list, totals: np.ndarray, mark: np.ndarr
 
 
 def _joining_links(table: pa.Table, least: float) -> list[tuple[int, int]]:
-    """Links between different components of one block pair, no more than join them."""
-    ids, roots = table.column("id").to_numpy(), table.column("root").to_numpy()
+    """Links between the roots of different components of one block pair, no more than join them."""
+    roots = table.column("root").to_numpy()
     inside = table.column("s")[0].as_py() == table.column("v")[0].as_py()
     here = table.column("block").to_numpy() == table.column("s")[0].as_py()
     label = np.unique(roots, return_inverse=True)[1]
@@ -220,23 +230,26 @@ def _joining_links(table: pa.Table, least: float) -> list[tuple[int, int]]:
     totals = np.array([float(c.sum()) for c in counts])
     sizes = np.array([len(c) for c in counts])
     mark, found = np.zeros(len(names)), []
-    for i in range(len(ids)):
+    for i in range(len(roots)):
         if not inside and not here[i]:
             continue
-        others = np.arange(len(ids)) > i if inside else ~here
+        others = np.arange(len(roots)) > i if inside else ~here
         j = np.flatnonzero(others & (label != label[i]) & (np.minimum(sizes, sizes[i]) > 0))
         for at in range(0, len(j), 512):
             part = j[at:at + 512]
             for k in part[_close(i, part, sets, totals, mark, least)]:
                 if label[k] != label[i]:
-                    found.append((int(ids[i]), int(ids[k])))
+                    found.append((int(roots[i]), int(roots[k])))
                     label[label == label[k]] = label[i]
     return found
 
 
 def open_bucket_links(apart: DataFrame, texts: DataFrame, classes: DataFrame, least: float, size: int,
                       block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between components that share a bucket; ``apart`` is (key, n, id, root), its ids are nodes."""
+    """Links (a, b) between roots of components that share a bucket; ``apart`` is (key, id, root), its ids are nodes.
+
+    A bucket is cut into blocks by its classes and by their shingles, whichever needs more.
+    """
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for whole in parts:
@@ -251,9 +264,10 @@ def open_bucket_links(apart: DataFrame, texts: DataFrame, classes: DataFrame, le
     wanted = apart.select(F.col("id").alias("node")).distinct().join(classes.select("node", "id", "tag"), "node")
     details = store(texts.hint("merge").join(wanted, ["id", "tag"]).select("node", "text").mapInArrow(
         sets, "id long, shingles binary, counts binary").dropDuplicates(["id"]), "shingle-sets")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    placed = apart.withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    weights = details.select("id", (F.octet_length("shingles") / 8).alias("size"))
+    blocks = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    cut = store(apart.join(weights, "id").groupBy("key").agg(blocks.alias("blocks")), "bucket-blocks")
+    placed = apart.join(cut, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     spots = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as s, greatest(block, j) as v))")
     placed = placed.select("key", "id", "root", "block", F.explode(spots).alias("spot"))
     placed = placed.select("key", "spot.s", "spot.v", "id", "root", "block").join(details, "id")
@@ -294,10 +308,11 @@ def _labelled(docs: DataFrame, least: float, bands: int, rows: int, size: int, t
 
     # one pass over the texts, which stay where they are
     digested = store(source.mapInArrow(banded, "id long, tag long, digest string, keys array<long>"), "document-bands")
-    classes = digested.filter("digest is not null").groupBy("digest").agg(F.min(F.struct("id", "tag")).alias("least"))
+    classes = digested.filter("digest is not null").groupBy("digest").agg(
+        F.min(F.struct("id", "tag")).alias("least"), F.count("*").alias("n"))
     # a class is a node of its own, as one doc_id may be the least of several classes
-    classes = store(classes.select("digest", "least.id", "least.tag", F.monotonically_increasing_id().alias("node")),
-                    "word-classes")
+    classes = store(classes.select("digest", "least.id", "least.tag", "n",
+                                   F.monotonically_increasing_id().alias("node")), "word-classes")
     members = digested.join(classes, ["id", "tag", "digest"]).select(
         F.col("node").alias("id"), F.explode("keys").alias("key"))
     members = store(members, "bands")
@@ -314,14 +329,18 @@ def _labelled(docs: DataFrame, least: float, bands: int, rows: int, size: int, t
         "key", "id", F.coalesce("root", "id").alias("root"))
     open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                          F.count("*").alias("n")).filter("lo < hi")
-    apart = store(named.join(open_keys.select("key", "n"), "key"), "open-buckets")
+    apart = store(named.join(open_keys.select("key"), "key"), "open-buckets")
     more = store(open_bucket_links(apart, source, classes, least, size), "document-links")
-    roots = components(links.unionByName(more))
-
-    linked = classes.join(roots, "node").select("digest", "id", "root")
-    firsts = linked.groupBy("root").agg(F.min("id").alias("first"))
-    linked = linked.join(firsts, "root").select("digest", "first")
-    label = classes.join(linked, "digest", "left").select("digest", F.coalesce("first", "id").alias("class_id"))
+    # roots that a second link joins, and the least id of each whole component
+    over = components(more).select(F.col("node").alias("root"), F.col("root").alias("over"))
+    everything = store(classes.join(roots, "node", "left").select(
+        "digest", "id", "n", F.coalesce("root", "node").alias("root")), "class-roots")
+    each = everything.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    each = store(each.join(over, "root", "left").withColumn("over", F.coalesce("over", "root")), "components")
+    whole = each.groupBy("over").agg(F.min("least").alias("class_id"))
+    named = store(each.join(whole, "over").select("root", "class_id", "n"), "component-names")
+    label = join_hot(everything.withColumnRenamed("n", "rows"), named, ["root"], ["digest"])
+    label = store(label.select("digest", F.col("rows").alias("n"), "class_id"), "class-labels")
     return digested.select("id", "tag", "digest"), label
 
 
@@ -330,7 +349,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     """(doc_id, class_id) for every distinct doc_id; class_id is the least doc_id of its group."""
     digested, label = _labelled(docs, least, bands, rows, size, text, doc_id)
     of_words = digested.groupBy("id").agg(F.min("digest").alias("digest"))
-    return of_words.join(label, "digest", "left").select(
+    return join_hot(of_words, label, ["digest"], ["id"], "left").select(
         F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"))
 
 
@@ -338,7 +357,7 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, row
              text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of their text's group (rows without a doc_id or words stay)."""
     digested, label = _labelled(docs, least, bands, rows, size, text, doc_id)
-    gone = digested.join(label, "digest").filter("id <> class_id").select("id", "tag")
+    gone = join_hot(digested, label, ["digest"], ["id", "tag"]).filter("id <> class_id").select("id", "tag")
     # whole rows travel as one column, so that no name of theirs can clash
     whole = docs.select(F.struct(*[docs[quoted(c)].alias(c) for c in docs.columns]).alias("doc"),
                         docs[doc_id].cast("long").alias("id"), F.xxhash64(docs[text].cast("string")).alias("tag"))
