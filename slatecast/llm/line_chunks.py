@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecast.llm.common import quoted, store
+from slatecast.llm.common import join_hot, quoted, store
 
 AVERAGE, LONG_WORDS, SALT_ROWS = 3, 50, 2000
 _M = (1 << 64) - 1
@@ -156,11 +156,11 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", ave
 
     hashes = docs.select(*key, docs[text].cast("string").alias("text"))
     rows = store(hashes.mapInArrow(hashed, "key long, tag long, line long, last long, h1 long, h2 long"), "chunk-hashes")
-    repeated = rows.groupBy("h1", "h2").agg(F.count("*").alias("n"),
-                                            F.min(F.struct("key", "tag", "line")).alias("first")).filter("n > 1")
+    repeated = store(rows.groupBy("h1", "h2").agg(
+        F.count("*").alias("n"), F.min(F.struct("key", "tag", "line")).alias("first")).filter("n > 1"), "chunk-counts")
     here = (F.col("key") == F.col("first.key")) & (F.col("tag") == F.col("first.tag"))
     overlaps = here & (F.col("first.line") + F.col("last") - F.col("line") > F.col("line"))   # or is the first
-    seen = rows.join(repeated, ["h1", "h2"]).filter(~overlaps).groupBy("key", "tag").agg(F.collect_set(F.struct(
+    seen = join_hot(rows, repeated, ["h1", "h2"], ["key", "tag", "line"]).filter(~overlaps).groupBy("key", "tag").agg(F.collect_set(F.struct(
         "first.key", "first.tag", "first.line", F.col("line").alias("at"), "last")).alias("repeats"))
 
     def joined_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
