@@ -9,18 +9,23 @@ Text counts with the weight of at most ``text_weight`` trigrams, for neighbourin
 trigrams are far from independent. A row in none of the languages is "und",
 whose text likelihood is level over all trigrams.
 
-Fitting reads a bounded sample of labelled rows (``max_rows`` with the least
-hash, and ``max_bytes`` of text per task); everything else covers all rows.
+The languages are those that at least ``LEAST_ROWS`` rows declare, unless they
+are given. Fitting reads a bounded sample of labelled texts (the ``max_rows``
+distinct ones with the least hash, so copies count once and the sample doesn't
+depend on the partitions); everything else covers all rows.
 
 Defined cases: a null, empty or letterless text gives "und" and is rejected; a
 null or unknown declaration says nothing; a null host or suffix is one host or
-suffix of its own; without training rows every row is "und"; repeated rows are
-judged each, with the same result.
+suffix of its own; without training rows, or in an empty table, every row is
+"und"; of equal texts with several labels the least counts; repeated rows are
+judged each, with the same result; texts of any length are read whole; rows
+travel as one column, so their names may be any.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +33,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecast.llm.common import hash60, quoted, store
+from slatecast.llm.common import hash60, join_hot, quoted, store
 from slatecast.llm.licenses import words_of
 
-LANGUAGES = ("de", "en", "es", "fr")
 BITS = 15
-MAX_ROWS, MAX_BYTES = 20_000, 200_000_000
+LEAST_ROWS, MAX_ROWS = 10, 20_000
 SMOOTH_HOST, SMOOTH_SUFFIX, UNKNOWN_PRIOR = 8.0, 8.0, 1e-3
-TEXT_WEIGHT, CONFIDENCE, SALTS = 60.0, 0.5, 16
+TEXT_WEIGHT, CONFIDENCE = 60.0, 0.5
+
+
+@dataclass(frozen=True)
+class Model:
+    """Log likelihood of each hashed trigram: one column per language, the last for "und"."""
+
+    languages: tuple[str, ...]
+    table: np.ndarray
 
 
 def trigrams(text: bytes | None, bits: int = BITS) -> np.ndarray:
@@ -54,23 +66,29 @@ def code(col: Column) -> Column:
     return F.when(two != "", two)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", languages: Sequence[str] = LANGUAGES,
-        bits: int = BITS, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> np.ndarray:
-    """Log likelihood of each trigram: (2^bits, languages + 1), the last for "und"."""
+def declared_languages(labels: DataFrame, least: int = LEAST_ROWS) -> tuple[str, ...]:
+    """Codes (column ``lang``) that at least so many rows declare: at most 26 * 26."""
+    counts = labels.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n"))
+    return tuple(sorted(r["lang"] for r in counts.filter(F.col("n") >= least).select("lang").collect()))
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", languages: Sequence[str] | None = None,
+        bits: int = BITS, max_rows: int = MAX_ROWS, least_rows: int = LEAST_ROWS) -> Model:
+    """Trigram likelihoods from the rows that declare one of the languages."""
     labelled = docs.select(F.col(text).cast("string").alias("text"), code(F.col(lang)).alias("lang"))
-    labelled = labelled.filter(F.col("text").isNotNull() & F.col("lang").isin(*languages))
-    order = hash60(F.col("text"))
-    # the border of the sample: the hash below which about max_rows rows lie
-    total = labelled.count()
-    sample = labelled if total <= max_rows else labelled.filter(order < int((1 << 60) * (max_rows / total)))
+    labelled = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    languages = tuple(declared_languages(labelled, least_rows) if languages is None else languages)
+    labelled = labelled.filter(F.col("lang").isin(*languages)).withColumn("order", hash60(F.col("text")))
+    # the border of the sample: the hash of the last of max_rows distinct texts
+    border = labelled.select("order").distinct().orderBy("order").limit(max_rows).agg(F.max("order")).first()[0]
+    sample = labelled.filter(F.col("order") <= F.lit(border)) if border is not None else labelled.limit(0)
+    sample = sample.groupBy("order").agg(F.min(F.struct("lang", "text")).alias("one")).select("one.text", "one.lang")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.zeros((len(languages), 1 << bits), np.int64), 0
+        table = np.zeros((len(languages), 1 << bits), np.int64)
         for part in parts:
             for t, lab in zip(part.column(0).cast(pa.binary()).to_pylist(), part.column(1).to_pylist()):
-                if seen < max_bytes:
-                    seen += len(t)
-                    table[languages.index(lab)] += np.bincount(trigrams(t, bits), minlength=1 << bits)
+                table[languages.index(lab)] += np.bincount(trigrams(t, bits), minlength=1 << bits)
         lang_at, at = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(lang_at), pa.array(at), pa.array(table[lang_at, at])],
                                          names=["lang", "at", "n"])
@@ -83,7 +101,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", languages: Sequ
     log = np.log(table / table.sum(0, keepdims=True))
     empty = table[:, :-1].sum(0) <= 0.5 * (1 << bits)
     log[:, :-1][:, empty] = np.log(0.25 / (1 << bits))    # a language without training text never wins
-    return log.astype(np.float32)
+    return Model(languages, log.astype(np.float32))
 
 
 def likelihoods(texts: Sequence[bytes | None], table: np.ndarray, text_weight: float) -> np.ndarray:
@@ -113,22 +131,22 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(-1, width)
 
 
-def identify(rows: DataFrame, model: np.ndarray, text: Column, declared: Column, host: Column, suffix: Column,
-             keep: Sequence[str] | None = None, languages: Sequence[str] = LANGUAGES,
-             text_weight: float = TEXT_WEIGHT, confidence: float = CONFIDENCE) -> DataFrame:
+def identify(rows: DataFrame, model: Model, text: Column, declared: Column, host: Column, suffix: Column,
+             keep: Sequence[str] | None = None, text_weight: float = TEXT_WEIGHT,
+             confidence: float = CONFIDENCE) -> DataFrame:
     """(doc, lang, confidence, accepted) for every row; ``doc`` holds the columns ``keep``, by default all.
 
     With ``keep`` texts are read once; whole rows are read a second time, after
     the grouped sums, and shuffled once to meet their host's prior.
     """
     spark, wide = rows.sparkSession, keep is None
-    classes = [*languages, "und"]
+    classes = [*model.languages, "und"]
     width = len(classes)
-    shared = spark.sparkContext.broadcast(model)      # 2^bits rows, a few columns
+    shared = spark.sparkContext.broadcast(model.table)      # 2^bits rows, a column per language
     evidence = [F.coalesce(host.cast("string"), F.lit("")).alias("host"),
                 F.coalesce(suffix.cast("string"), F.lit("")).alias("suffix"),
                 F.coalesce(code(declared), F.lit("")).alias("declared"),
-                F.pmod(F.xxhash64(text.cast("string")), F.lit(SALTS)).alias("salt"),
+                F.xxhash64(text.cast("string")).alias("mark"),
                 text.cast("string").alias("text")]
     doc = F.struct(*[rows[quoted(c)].alias(c) for c in (keep or rows.columns)]).alias("doc")
     scored = rows.select(*([] if wide else [doc]), *evidence)
@@ -155,7 +173,8 @@ def identify(rows: DataFrame, model: np.ndarray, text: Column, declared: Column,
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("m"), *again).select("suffix", F.array(*[
         (F.col(f"s{i}") + SMOOTH_SUFFIX * level[i]) / (F.col("m") + SMOOTH_SUFFIX) for i in range(width)]).alias("q"))
     priors = hosts.select("host", "suffix", "n", F.array(*[f"s{i}" for i in range(width)]).alias("s")) \
-        .join(suffixes, "suffix").withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+        .join(suffixes, "suffix")
+    priors = store(priors, "host-priors")
     # how often each language declares each code: at most 26 * 26 + 1 rows
     said = {r["declared"]: np.array([r[f"s{i}"] for i in range(width)])
             for r in narrow.groupBy("declared").agg(*sums).collect()}
@@ -185,7 +204,7 @@ def identify(rows: DataFrame, model: np.ndarray, text: Column, declared: Column,
                     names=["doc", "lang", "confidence", "accepted"])
 
     body = rows.select(doc, *evidence) if wide else narrow
-    joined = body.join(priors, ["host", "suffix", "salt"]).select(
+    joined = join_hot(body, priors, ["host", "suffix"], ["mark"]).select(
         "doc", "declared", "text" if wide else "fit", "n", "s", "q")
     schema = T.StructType([T.StructField("doc", joined.schema["doc"].dataType), T.StructField("lang", T.StringType()),
                            T.StructField("confidence", T.DoubleType()), T.StructField("accepted", T.BooleanType())])

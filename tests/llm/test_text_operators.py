@@ -1,8 +1,10 @@
 """Line dedup, licenses, token counts, pieces, languages, toxicity: against brute force, and on odd rows."""
 
+import math
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -260,6 +262,81 @@ def test_languages_fuse_evidence(spark):
     assert langid.identify(docs.limit(0), model, docs["text"], docs["lang"], docs["source"], docs["suffix"]).count() == 0
 
 
+def test_model_does_not_depend_on_partitions_or_copies(spark):
+    rng = random.Random(8)
+    words = {"en": "the of and to in that", "pt": "o que de uma não com", "sv": "och att det som en på", "xx": "zz"}
+    rows = [(" ".join(rng.choices(words[lang].split(), k=9)), lang) for lang in ("en", "pt", "sv") for _ in range(60)]
+    rows += [("zz yy", "xx")] * 9 + [("the same text of all", "en")] * 200 + [("the same text of all", "pt")]
+    models = [langid.fit(spark.createDataFrame(order, "text string, lang string").repartition(n), max_rows=100)
+              for order, n in ((rows, 1), (rows[::-1], 40))]
+    assert models[0].languages == models[1].languages == ("en", "pt", "sv")     # xx is declared too seldom
+    assert np.array_equal(models[0].table, models[1].table)
+    given = langid.fit(spark.createDataFrame(rows, "text string, lang string"), languages=("sv", "xx"))
+    assert given.languages == ("sv", "xx")
+
+
+def test_posterior_against_plain_python(spark):
+    """Likelihoods, declarations and smoothed priors fused by hand."""
+    rng = random.Random(9)
+    words = {"en": "the of and to in that la", "fr": "le la de et les des of"}
+    rows = []
+    for i in range(90):
+        lang = "en" if i % 3 else "fr"
+        text = " ".join(rng.choices(words[lang].split(), k=rng.randint(1, 30))) if i % 13 else rng.choice(["", "42", None])
+        rows.append((i, text, rng.choice([lang, lang, "fr", None, "de"]), f"h{i % 7 if i % 2 else 0}", "s" if i % 7 < 4 else "t"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string, suffix string")
+    model = langid.fit(docs, languages=("en", "fr"), bits=10)
+    found = langid.identify(docs, model, docs["text"], docs["lang"], docs["host"], docs["suffix"], keep=["doc_id"])
+    got = {r.doc.doc_id: r for r in found.collect()}
+
+    def grams(text):
+        words = re.findall("[a-z]+", (text or "").lower())
+        data = (" " + " ".join(words) + " ").encode()
+        return [((data[k] << 16 | data[k + 1] << 8 | data[k + 2]) * 2654435761 % 2 ** 32) >> 22
+                for k in range(len(data) - 2)] if words else []
+
+    counts = {lang: Counter() for lang in ("en", "fr")}
+    for text, lang in {t: min(x for _, u, x, _, _ in rows if u == t and x in counts)
+                       for _, t, lab, _, _ in rows if t is not None and lab in counts}.items():
+        counts[lang].update(grams(text))
+    logs = []
+    for lang in ("en", "fr"):
+        whole = sum(counts[lang].values()) + 512
+        logs.append([math.log((counts[lang][g] + 0.5) / whole) for g in range(1024)])
+    logs.append([math.log(1 / 1024)] * 1024)
+
+    def soft(v):
+        e = [math.exp(x - max(v)) for x in v]
+        return [x / sum(e) for x in e]
+
+    def likely(text):
+        found = grams(text)
+        return [sum(t[g] for g in found) * min(60, len(found)) / len(found) for t in logs] if found else None
+
+    fits = {i: likely(t) for i, t, *_ in rows}
+    shares = {i: soft(f) if f else [1 / 3] * 3 for i, f in fits.items()}
+
+    def total(picked):
+        return [sum(shares[r[0]][k] for r in picked) for k in range(3)]
+
+    level = [(x + 1) / (len(rows) + 3) for x in total(rows)]
+    said = {d: total([r for r in rows if (r[2] or "") == d]) for d in {r[2] or "" for r in rows}}
+    per_class = [sum(v[k] for v in said.values()) for k in range(3)]
+    for i, text, declared, host, suffix in rows:
+        of_suffix = [r for r in rows if r[4] == suffix]
+        of_host = [r for r in of_suffix if r[3] == host]
+        q = [(x + 8 * y) / (len(of_suffix) + 8) for x, y in zip(total(of_suffix), level)]
+        prior = [(max(0, x - own) + 8 * y) / (len(of_host) - 1 + 8) for x, own, y in zip(total(of_host), shares[i], q)]
+        prior[2] = min(prior[2], 1e-3)
+        says = [math.log((said[declared][k] + 1) / (per_class[k] + len(said))) if declared else 0 for k in range(3)]
+        if fits[i] is None:
+            assert (got[i].lang, got[i].confidence, got[i].accepted) == ("und", 0.0, False)
+            continue
+        fused = soft([math.log(max(p, 1e-9)) + s + f for p, s, f in zip(prior, says, fits[i])])
+        assert got[i].confidence == pytest.approx(max(fused), abs=1e-4), i
+        assert got[i].lang == ("en", "fr", "und")[fused.index(max(fused))]
+
+
 def test_host_prior_decides_short_texts(spark):
     rows = [(i, "el la de", None, "fr.example" if i < 40 else "es.example") for i in range(80)]
     rows += [(100 + i, "le la de et les des", None, "fr.example") for i in range(60)]
@@ -267,7 +344,7 @@ def test_host_prior_decides_short_texts(spark):
     train = spark.createDataFrame([(1, "le la de et les des el", "fr"), (2, "el los que y por una la de", "es")],
                                   "doc_id long, text string, lang string")
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string")
-    found = langid.identify(docs, langid.fit(train), F_col(docs, "text"), F_col(docs, "lang"), F_col(docs, "host"),
+    found = langid.identify(docs, langid.fit(train, least_rows=1), F_col(docs, "text"), F_col(docs, "lang"), F_col(docs, "host"),
                             F_col(docs, "host"), text_weight=2.0)
     got = {r.doc.doc_id: r.lang for r in found.collect()}
     assert {got[i] for i in range(40)} == {"fr"} and {got[i] for i in range(40, 80)} == {"es"}
