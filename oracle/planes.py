@@ -56,6 +56,72 @@ FINAL = {
               on g.official_date between s.first and s.last and (s.slice > 0 or g.game_pk % 5 <> 0))
         where newest is null or day > newest - 14
         group by game_pk, official_date""",
+    "flatten_lineups": """
+        select l.game_pk, g.official_date, l.team_id, l.is_home, l.player_id, l.player_name,
+               l.batting_order as batting_order_raw, cast(round_even(l.batting_order / 100, 0) as integer) as batting_order_slot,
+               g.status as game_status
+        from {raw_batting_lines} l join (
+            select game_pk, any_value(cast(official_date as date)) as official_date, any_value(status) as status
+            from {raw_games} where status <> 'Final' group by game_pk) g using (game_pk)
+        where l.load_id = '1700000002' and l.batting_order is not null""",
+    "war_files": """
+        select mlb_id, year_id, stint_id, pa, g, war, cast(mlb_id as double) / 2 as salary,
+               if(mlb_id % 20 = 0, 'n/a', cast(mlb_id as varchar)) as note
+        from {raw_war_seasons} where year_id between 2021 and 2024""",
+    "pitch_mix_xba": """
+        select * from (with thrown as (
+            select pitcher_id, game_date, pitch_type, count(*) as n from {flags} where pitch_type is not null group by all),
+        struck as (
+            select batter_id, game_date, pitch_type, sum(xba) as x, count(*) as n
+            from {flags} where pitch_type is not null and is_bip and xba is not null group by all),
+        games as (select game_pk, batter_id, opp_starter_id, game_date from {fct_batter_game} where opp_starter_id is not null),
+        mix as (
+            select g.game_pk, g.batter_id, t.pitch_type, sum(t.n) as n
+            from games g join thrown t on t.pitcher_id = g.opp_starter_id and t.game_date < g.game_date group by all),
+        skill as (
+            select g.game_pk, g.batter_id, s.pitch_type, sum(s.x) / sum(s.n) as x
+            from games g join struck s on s.batter_id = g.batter_id and s.game_date < g.game_date group by all)
+        select game_pk, batter_id, round(sum(n * x) / sum(n) filter (x is not null) + 1e-12::double, 10) as mix_xba,
+               round(cast(sum(n) filter (x is not null) as double) / sum(n) + 1e-12::double, 10) as mix_share
+        from mix left join skill using (game_pk, batter_id, pitch_type)
+        group by game_pk, batter_id having count(x) > 0)""",
+    "streak_permutation": """
+        select * from (with orders as (
+            select r, batter_id, game_pk, has_hit, case when r = 0 then date_diff('day', date '1970-01-01', game_date) else
+                   cast('0x' || substr(md5(game_pk || ':' || batter_id || ':1:' || r), 1, 15) as bigint) end as mark
+            from {fct_batter_game}, range(31) x(r)),
+        ran as (
+            select *, row_number() over (partition by r, batter_id order by mark, game_pk) as i from orders),
+        streaks as (
+            select *, i - 1 - coalesce(max(case when has_hit = 0 then i end) over (
+                partition by r, batter_id order by i rows between unbounded preceding and 1 preceding), 0) as streak
+            from ran),
+        rates as (
+            select r, case when streak >= 10 then '10+' when streak >= 5 then '5-9' when streak >= 3 then '3-4'
+                           else cast(streak as varchar) end as bucket,
+                   count(*) as n, cast(sum(has_hit) as double) / count(*) as rate
+            from streaks where streak < 100 group by all)
+        select p.bucket, p.n, round(p.rate, 8) as rate, round(avg(s.rate), 8) as null_mean,
+               round(stddev_samp(s.rate), 8) as null_sd,
+               round(cast(count(*) filter (s.rate >= p.rate) + 1 as double) / (count(s.rate) + 1), 8) as p_high
+        from rates p left join rates s on s.bucket = p.bucket and s.r > 0 where p.r = 0 group by p.bucket, p.n, p.rate)""",
+    "predictions_as_shown": """
+        select strftime(run_ts, '%Y-%m-%d %H:%M:%S') as scored_at, slate_date, game_pk, batter_id, p_hit, model_version from {predictions}
+        where run_ts <= timestamp '2026-06-01 12:30:00'
+        qualify row_number() over (partition by slate_date, game_pk, batter_id order by run_ts desc, model_version desc) = 1""",
+    "lineup_slice": f"""
+        select lineup_confirmed, count(*) as n, round(avg(has_hit), 8) as base_rate, round(avg(has_hit) - avg(q), 8) as cal_gap,
+               round(-avg(if(has_hit = 1, ln(q), ln(1 - q))), 8) as log_loss, round(avg((q - has_hit) * (q - has_hit)), 8) as brier
+        from (select *, least(greatest(p_hit, 1e-6::double), 1 - 1e-6::double) as q from {{predictions}}
+              join (select game_pk, batter_id, has_hit from {{fct_batter_game}}) using (game_pk, batter_id)
+              where run_ts <= timestamp '2026-06-01 12:30:00')
+        group by lineup_confirmed""",
+    "changed_lineups": """
+        select game_pk, count(*) as n_changed
+        from (select game_pk, player_id, arg_max(batting_order, load_id) as now,
+                     arg_max(batting_order, load_id) filter (load_id <= '1700000001') as was
+              from {raw_lineups} group by all)
+        where was is distinct from now group by game_pk""",
     "only_in_first_copy": "select count(*) as n from {int_batter_game} where batter_id % 37 = 0",
     # pooled scores; the map at i is the highest of the lowest running means that span i
     "isotonic_map": """

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.plans import evaluation
+from slatecast.plans import evaluation, matchup, output, research, staging
 from slatecast.plans import model as training
 from slatecast.plans.boosting import BoostParams, fit_boosted
 from slatecast.plans.quality import only_in_first
@@ -94,6 +94,33 @@ def flatten_boxscore(spark, sf_dir):
     return flatten.flatten_boxscore_lines(boxes, games)
 
 
+@query
+def flatten_lineups(spark, sf_dir):
+    """Posted orders, out of boxscore documents, of games as they stood before they ended; then staged."""
+    w = StarWarehouse(spark, sf_dir, ())
+    games = staging.stg_games(w.raw("games").filter("status <> 'Final'")).withColumn(
+        "official_date", F.col("official_date").cast("string"))
+    posted = flatten.flatten_lineups(_boxscores(w.raw("batting_lines").filter("load_id = '1700000002'"), None,
+                                                F.col("position")), games)
+    return staging.stg_lineups(posted.withColumn("load_id", F.lit("1700000002")))
+
+
+@query
+def war_files(spark, sf_dir):
+    """Seasons written as the published text file (a word for what is missing, a column of mixed text), read back."""
+    raw = StarWarehouse(spark, sf_dir, ()).raw("war_seasons")
+    text = raw.select(
+        F.col("mlb_id").alias("mlb_ID"), "name_common", F.col("year_id").alias("year_ID"),
+        F.col("stint_id").alias("stint_ID"), F.col("team_id").alias("team_ID"), F.col("lg_id").alias("lg_ID"),
+        F.col("pa").alias("PA"), F.col("g").alias("G"), F.col("war").alias("WAR"),
+        (F.col("mlb_id") / 2).cast("string").alias("salary"),
+        F.when(F.col("mlb_id") % 20 == 0, "n/a").otherwise(F.col("mlb_id").cast("string")).alias("note"))
+    path = scratch_path(spark, "war-files")
+    text.write.option("header", True).option("nullValue", "NULL").csv(path)
+    war = readers.read_war(spark, path, 2021, 2024)
+    return war.select("mlb_id", "year_id", "stint_id", "pa", "g", "war", "salary", "note")
+
+
 @query
 def flatten_standings(spark, sf_dir):
     rows = StarWarehouse(spark, sf_dir, ()).raw("standings")
@@ -218,6 +245,53 @@ def logistic_fit(spark, sf_dir):
     return spark.createDataFrame(rows, "term string, value double").select("term", F.round("value", 4).alias("value"))
 
 
+@query
+def pitch_mix_xba(spark, sf_dir):
+    """The starter's pitch mix times the batter's expected average by type, both strictly before the game."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    rows = matchup.pitch_mix_xba(w.int_pitch_flags, w.fct_batter_game)
+    return rows.select("game_pk", "batter_id",
+                       # moved off exact halves, which many of these fractions are
+                       *[F.round(F.col(c) + 1e-12, 10).alias(c) for c in ("mix_xba", "mix_share")])
+
+
+@query
+def streak_permutation(spark, sf_dir):
+    """Hit rate by streak against thirty shuffles of every batter's games."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    rows = research.streak_permutation(store(w.fct_batter_game.select("batter_id", "game_pk", "game_date", "has_hit"),
+                                             "played-games"), 30)
+    return rows.select("bucket", "n", *[F.round(c, 8).alias(c) for c in ("rate", "null_mean", "null_sd", "p_high")])
+
+
+#: When the site was built: after the first run of 1 June 2026 and before the second.
+SHOWN_AT = "2026-06-01 12:30:00"
+
+
+def _shown(w: StarWarehouse) -> DataFrame:
+    return output.predictions_as_shown(w.raw("predictions"), F.lit(SHOWN_AT).cast("timestamp"))
+
+
+@query
+def predictions_as_shown(spark, sf_dir):
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    return _shown(w).select(F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("scored_at"), "slate_date", "game_pk", "batter_id", "p_hit", "model_version")
+
+
+@query
+def lineup_slice(spark, sf_dir):
+    """Cost of projected lineups: what was shown, confirmed against projected."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    rows = output.lineup_slice(_shown(w), w.fct_batter_game)
+    return rows.select("lineup_confirmed", "n", *[F.round(c, 8).alias(c) for c in ("base_rate", "cal_gap", "log_loss", "brier")])
+
+
+@query
+def changed_lineups(spark, sf_dir):
+    """Games to score again in the evening: their order moved after the first load."""
+    return output.changed_lineups(StarWarehouse(spark, sf_dir, ()).raw("lineups"), "1700000001")
+
+
 @query
 def isotonic_map(spark, sf_dir):
     """Rate that the monotone map gives each of the stand-in scores."""

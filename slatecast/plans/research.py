@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from slatecast.functions.pitch_flags import PITCH_TYPES
 from slatecast.functions.rates import at_least_one, safe_div, wilson
 from slatecast.operators import sketches
+from slatecast.operators.ordered import ordered_windows
 from slatecast.operators.ranks import quantile_bins, spearman
+from slatecast.operators.runs import streak_specs
 from slatecast.session import store
 
 # Thresholds of the promotion rule.
@@ -285,10 +287,7 @@ STREAK_BUCKETS = [(0, "0"), (1, "1"), (2, "2"), (4, "3-4"), (9, "5-9"), (99, "10
 
 def streak_buckets(df: DataFrame) -> DataFrame:
     """Hit rate per streak bucket against what quality and PA alone predict."""
-    streak = F.col("hit_streak_entering")
-    bucket = F.lit(None).cast("string")
-    for bound, label in reversed(STREAK_BUCKETS):
-        bucket = F.when(streak <= bound, label).otherwise(bucket)
+    bucket = _bucket(F.col("hit_streak_entering"))
     rows = df.filter(F.col("eb_hit_per_pa_career").isNotNull() & F.col("pa").isNotNull()) \
              .withColumn("bucket", bucket).filter(F.col("bucket").isNotNull())
     g = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("has_hit").alias("k"),
@@ -299,6 +298,42 @@ def streak_buckets(df: DataFrame) -> DataFrame:
                     (rate - F.col("expected")).alias("residual"))
 
 
+def _bucket(streak: Column) -> Column:
+    bucket = F.lit(None).cast("string")
+    for bound, label in reversed(STREAK_BUCKETS):
+        bucket = F.when(streak <= bound, label).otherwise(bucket)
+    return bucket
+
+
+def streak_permutation(batter_games: DataFrame, replicates: int = 50, seed: int = 1) -> DataFrame:
+    """Hit rate by streak bucket against seeded shuffles of each batter's games.
+
+    Returns (bucket, n, rate, null_mean, null_sd, p_high). Replicate 0 is the
+    played order; replicate r orders a batter's games by a hash of game, batter,
+    seed and r, so a shuffle is a sort inside (replicate, batter): groups of any
+    size are split by ``ordered_windows`` and no batter is gathered. ``p_high``
+    is the share of orders, the played one included, whose rate is as high.
+    """
+    rows = batter_games.select("batter_id", "game_pk", F.col("has_hit").cast("int").alias("has_hit"),
+                               F.unix_date("game_date").cast("long").alias("_day"))
+    name = F.concat_ws(":", "game_pk", "batter_id", F.lit(seed), "replicate")
+    mark = F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+    rows = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    rows = rows.withColumn("_mark", F.when(F.col("replicate") == 0, F.col("_day")).otherwise(mark)).drop("_day")
+    ran = ordered_windows(rows, ["replicate", "batter_id"], ["_mark", "game_pk"],
+                          {"_last_miss": streak_specs("has_hit", "idx")["_last_miss"]}, index="idx")
+    streak = F.col("idx") - 1 - F.coalesce("_last_miss", F.lit(0))
+    counted = store(ran.groupBy("replicate", _bucket(streak).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("has_hit").alias("k")).filter("bucket is not null"), "streak-replicates")
+    # a handful of buckets per replicate from here on
+    rate = (F.col("k") / F.col("n")).alias("rate")
+    played = counted.filter("replicate = 0").select("bucket", "n", rate)
+    shuffled = counted.filter("replicate > 0").select("bucket", (F.col("k") / F.col("n")).alias("null_rate"))
+    return played.join(shuffled, "bucket", "left").groupBy("bucket", "n", "rate").agg(
+        F.avg("null_rate").alias("null_mean"), F.stddev("null_rate").alias("null_sd"),
+        ((F.count_if(F.col("null_rate") >= F.col("rate")) + 1) / (F.count("null_rate") + 1)).alias("p_high"))
+
+
 def pitchtype_league(pitchtypes: DataFrame) -> DataFrame:
     """League average by pitch type of the last pitch of an at-bat."""
     return pitchtypes.filter(F.col("pitch_type").isin(PITCH_TYPES)).groupBy("pitch_type").agg(

@@ -1,6 +1,7 @@
 """Interval as-of joins, sketches, boosting and further planned pieces."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from slatecast.operators import sketches
 from slatecast.operators.asof import asof_join, interval_join, validity
 from slatecast.operators.ranks import quantiles
+from slatecast.plans import matchup, output, research
 from slatecast.plans.boosting import Boosted, BoostParams, fit_boosted
 
 
@@ -94,3 +96,70 @@ def test_model_file_and_sampling(spark, tmp_path):
         fit_boosted(df.limit(0), ["a"], "y", "w", ["id"], p)
     flat = fit_boosted(df.withColumn("a", F.lit(None).cast("double")), ["a"], "y", "w", ["id"], p)
     assert flat.trees.roots == [] and flat.score(df, "p").select("p").distinct().count() == 1
+
+
+# ---- planned pieces ----------------------------------------------------------------
+
+def test_pitch_mix_is_strictly_prior_and_skips_unknown_types(spark):
+    rows = [  # pitcher, batter, day, type, ball in play, expected average
+        (9, 1, "2024-05-01", "FF", True, 0.5), (9, 2, "2024-05-01", "SL", False, None), (9, 2, "2024-05-01", "FF", False, None),
+        (8, 1, "2024-05-02", "SL", True, 0.1), (9, 1, "2024-05-03", "CU", True, 0.9), (9, 1, "2024-05-03", None, True, 0.9)]
+    flags = spark.createDataFrame([(p, b, dt.date.fromisoformat(d), t, i, x) for p, b, d, t, i, x in rows],
+                                  "pitcher_id long, batter_id long, game_date date, pitch_type string, is_bip boolean, xba double")
+    games = spark.createDataFrame([(1, 1, 9, dt.date(2024, 5, 1)), (2, 1, 9, dt.date(2024, 5, 3)), (3, 1, 9, dt.date(2024, 5, 4)),
+                                   (4, 2, 9, dt.date(2024, 5, 4)), (5, 1, None, dt.date(2024, 5, 4))],
+                                  "game_pk long, batter_id long, opp_starter_id long, game_date date")
+    got = {r.game_pk: (r.mix_xba, r.mix_share) for r in matchup.pitch_mix_xba(flags, games).collect()}
+    # on the day of the first pitches nothing is known; a batter without balls in play has no row
+    assert got == {2: (pytest.approx((2 * 0.5 + 0.1) / 3), 1.0), 3: (pytest.approx((2 * 0.5 + 0.1 + 0.9) / 4), 1.0)}
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_streak_permutation_counts_every_order(spark, split, request):
+    if split:
+        request.getfixturevalue("small_groups")
+    rng = random.Random(6)
+    rows = [(b, g, dt.date(2024, 4, 1) + dt.timedelta(g), rng.randrange(2)) for b in (1, 2, 3) for g in range(60)]
+    games = spark.createDataFrame(rows, "batter_id long, game_pk long, game_date date, has_hit int")
+    found = research.streak_permutation(games, 8).collect()
+    assert sum(r.n for r in found) == len(rows)
+    want = {}
+    for r in range(9):
+        totals = {}
+        for b in (1, 2, 3):
+            mine = [x for x in rows if x[0] == b]
+            if r:
+                mine.sort(key=lambda x: int(hashlib.md5(f"{x[1]}:{b}:1:{r}".encode()).hexdigest()[:15], 16))
+            streak = 0
+            for x in mine:
+                label = next(name for bound, name in research.STREAK_BUCKETS if streak <= bound)
+                n, k = totals.get(label, (0, 0))
+                totals[label] = (n + 1, k + x[3])
+                streak = streak + 1 if x[3] else 0
+        for label, (n, k) in totals.items():
+            want.setdefault(label, {})[r] = k / n
+    for r in found:
+        played, *others = (want[r.bucket][i] for i in sorted(want[r.bucket]))
+        assert r.rate == played
+        if others:
+            assert r.null_mean == pytest.approx(sum(others) / len(others))
+        assert r.p_high == pytest.approx((sum(o >= played for o in others) + 1) / (len(others) + 1))
+
+
+def test_snapshot_shown_and_games_to_score_again(spark):
+    noon, evening = dt.datetime(2024, 6, 1, 12), dt.datetime(2024, 6, 1, 22)
+    log = spark.createDataFrame([(noon, 1, 7, 0.5, "v1", False), (evening, 1, 7, 0.6, "v1", True), (noon, 2, 8, 0.4, "v1", False)],
+                                "run_ts timestamp, game_pk long, batter_id long, p_hit double, model_version string, lineup_confirmed boolean")
+    log = log.withColumn("slate_date", F.lit("2024-06-01").cast("date"))
+    for at, want in (("2024-06-01 15:00:00", {1: 0.5, 2: 0.4}), ("2024-06-01 23:00:00", {1: 0.6, 2: 0.4}), ("2024-06-01 10:00:00", {})):
+        shown = output.predictions_as_shown(log, F.lit(at).cast("timestamp"))
+        assert {r.game_pk: r.p_hit for r in shown.collect()} == want
+    lineups = spark.createDataFrame([(1, 7, 100, "1"), (1, 7, 200, "2"), (2, 8, 100, "1"), (2, 8, 100, "2"), (3, 9, 100, "2")],
+                                    "game_pk long, player_id long, batting_order int, load_id string")
+    changed = output.changed_lineups(lineups, "1")
+    assert {r.game_pk: r.n_changed for r in changed.collect()} == {1: 1, 3: 1}
+    again = output.rescore(log.drop("run_ts"), changed, lambda rows: rows.withColumn("run_ts", F.lit(evening)))
+    assert {r.game_pk for r in again.collect()} == {1}
+    played = spark.createDataFrame([(1, 7, 1), (2, 8, 0)], "game_pk long, batter_id long, has_hit int")
+    rows = {r.lineup_confirmed: r for r in output.lineup_slice(output.predictions_as_shown(log, F.lit(evening)), played).collect()}
+    assert rows[True].n == 1 and rows[True].brier == pytest.approx(0.16) and rows[False].cal_gap == pytest.approx(-0.4)
