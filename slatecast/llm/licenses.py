@@ -6,9 +6,14 @@ Everything else is mandatory and must match word by word. A template becomes a
 token automaton whose sets of states are joined on demand, so a scan takes one
 dictionary step a word, and starts only at words that open some template.
 
+The templates are whole wordings (a text that shares an opening and goes on
+otherwise isn't accepted) and short notices that name a licence.
+
 Words: A-Z are lower-cased, then runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
-Defined cases: a null text counts as empty (no words, no labels); repeated rows
-are scanned each; whole texts are read, however long.
+Defined cases: a null text counts as empty (no words, no labels); a null doc_id
+is kept; repeated rows are scanned each; whole texts are read, however long; an
+empty table gives an empty result. Other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -20,23 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slatecast.llm.license_texts import TEMPLATES
+
 #: Phrases and labels of the base rule.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Wordings of well-known notices; the label is what is accepted.
-TEMPLATES = {
-    "apache-2.0": "licensed under the apache license [[version]] 2 0",
-    "mit": "[[released]] under the [[terms of the]] mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software "
-                "and associated documentation files [[the software]] to deal in the software without restriction",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted "
-                "provided that the following conditions are met",
-    "gpl-3.0": "[[this {{3}} is]] licensed under the [[terms of the]] gnu general public license [[as published by "
-               "the free software foundation]] [[either]] version 3 [[or any later version]]",
-    "cc-by-nc-4.0": "licensed under [[a]] [[the]] cc by nc 4 0 [[international license]]",
-    "copyright-notice": "copyright [[c]] {{8}} all rights reserved",
-}
-
 _BREAKS = bytes(i if 0x30 <= i <= 0x39 or 0x61 <= i <= 0x7A or i >= 0x80 else i + 32 if 0x41 <= i <= 0x5A else 32
                 for i in range(256))
 

@@ -159,6 +159,40 @@ def test_templates_accept_mandatory_wording_only(text, accepted):
     assert found[3] == accepted
 
 
+def rendered(template, keep):
+    """Words of a template with its optional parts kept or left out, replaceable ones filled in."""
+    while "[[" in template:
+        template = re.sub(r"\[\[((?:(?!\[\[|\]\]).)*)\]\]", lambda m: f" {m[1]} " if keep else " ", template, flags=re.S)
+    fill = lambda m: " ".join(f"holder{k}" for k in range(int(m[1]) if keep else 1))
+    return re.sub(r"\{\{(\d+)\}\}", fill, template).split()
+
+
+@pytest.mark.parametrize("label", sorted(licenses.TEMPLATES))
+def test_every_template_refuses_changed_wording(label):
+    scanner, rng = licenses.Scanner({}, licenses.TEMPLATES), random.Random(label)
+    for keep in (True, False):
+        words = rendered(licenses.TEMPLATES[label], keep)
+        whole = "Some heading.\n" + " ".join(words).capitalize() + ".\n\nMore text follows"
+        assert label in scanner.scan(whole.encode())[3]
+        bare = rendered(re.sub(r"\{\{\d+\}\}", "", licenses.TEMPLATES[label]), False)
+        mandatory = [k for k, w in enumerate(words) if w in bare and not w.startswith("holder")] if not keep else []
+        for k in rng.sample(mandatory, min(6, len(mandatory))):
+            changed = words[:k] + ["otherwise"] + words[k + 1:]
+            assert label not in scanner.scan(" ".join(changed).encode())[3], (label, k)
+            assert label not in scanner.scan(" ".join(words[:k] + ["you", "pay", "us"] + words[k:]).encode())[3] \
+                or label.endswith("notice") or k == 0
+        assert keep or label not in scanner.scan(" ".join(words[:len(words) // 2]).encode())[3]
+
+
+def test_openings_alone_are_not_accepted():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    mit, bsd = (" ".join(rendered(licenses.TEMPLATES[t], False)) for t in ("mit-text", "bsd-3-clause-text"))
+    evil = mit.replace("the software is provided", "the software shall be used for good not evil the software is provided")
+    for text in (evil, mit[:300] + " and you pay us", bsd[:250] + " you pay us", "licensed under the mozilla public license"):
+        assert scanner.scan(text.encode())[3] == set()
+    assert scanner.scan(bsd.encode())[3] == {"bsd-3-clause-text"}
+
+
 def test_automaton_against_regular_expression():
     template, pattern = "a [[b [[c]]]] {{2}} d [[a]]", r"^a (b (c )?)?(\S+ ){1,2}d( a)?"
     automaton, rng = licenses.Automaton(template), random.Random(1)
