@@ -12,8 +12,11 @@ hash of doc_id, and of these no more than ``max_features`` feature values in
 all (a bound for very long texts). Scoring reads every text whole.
 
 Defined cases: a null or empty text has only the intercept; labels other than
-0 and 1 are ignored, a document with both counts as 1; without training rows
-every score is 0.5; repeated rows are scored each.
+0 and 1 are ignored, a document with both counts as 1; a labelled doc_id with
+several rows is learned from once, by its least text; without training rows
+every score is 0.5; repeated rows, and those without a doc_id, are scored each;
+an empty table gives an empty result. Other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -87,9 +90,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     rows = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).filter(
         "id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
     sample = rows.withColumn("order", hash60(F.col("id").cast("string"))).orderBy("order", "id").limit(max_rows)
-    # at most max_rows narrow rows
+    # at most max_rows narrow rows; a labelled id with several rows counts with its least text
     body = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")) \
-        .join(F.broadcast(sample), "id").select("order", "label", "text")
+        .join(F.broadcast(sample), "id").groupBy("order", "id", "label").agg(F.min("text").alias("text")) \
+        .select("order", "label", "text")
 
     def hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
