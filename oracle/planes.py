@@ -122,6 +122,45 @@ FINAL = {
                      arg_max(batting_order, load_id) filter (load_id <= '1700000001') as was
               from {raw_lineups} group by all)
         where was is distinct from now group by game_pk""",
+    "dim_venue": """
+        select venue_id, cast(row_number() over (partition by venue_id order by day) as integer) as version,
+               v.venue_name, v.home_team_id, v.home_team_name, day as valid_from,
+               lead(day) over (partition by venue_id order by day) as valid_to
+        from (select *, lag(v) over (partition by venue_id order by day) as before
+              from (select venue_id, official_date as day, max({'venue_name': venue_name, 'home_team_id': home_team_id,
+                           'home_team_name': home_team_name}) as v
+                    from {stg_games} where venue_id is not null group by all))
+        where before is distinct from v""",
+    "game_venues": """
+        select g.game_pk, g.venue_id, g.official_date, cast(2 - cast(g.official_date < first_new as integer) as integer) as version,
+               g.venue_name, if(g.official_date < first_new, old_name, new_name) as home_team_name
+        from {stg_games} g join (
+            select venue_id, min(official_date) filter (home_team_name not like '% (old)') as first_new,
+                   max(home_team_name) filter (home_team_name like '% (old)') as old_name,
+                   max(home_team_name) filter (home_team_name not like '% (old)') as new_name
+            from {stg_games} group by venue_id) using (venue_id)""",
+    "kelly_curve": """
+        select * from (with b as (
+            select slate_date, has_hit, 1 + cast((game_pk * 13 + batter_id * 5) % 64 as double) / 64 as odds, p_hit
+            from {predictions} join (select game_pk, batter_id, has_hit from {fct_batter_game}) using (game_pk, batter_id)
+            where run_ts <= timestamp '2026-06-01 12:30:00'),
+        s as (
+            select slate_date, odds, has_hit,
+                   0.25::double * greatest(0, (p_hit * (odds - 1) - (1 - p_hit)) / (odds - 1)) as stake
+            from b where odds > 1 and p_hit - 1 / odds >= 0.02::double and has_hit is not null),
+        d as (
+            select slate_date, count(*) as n_bets, sum(stake) as stake,
+                   sum(if(has_hit = 1, stake * (odds - 1), -stake)) as gain, sum(if(has_hit = 1, odds - 1, -1)) as flat
+            from s group by slate_date),
+        r as (
+            select slate_date, n_bets, stake * least(1, 0.5::double / stake) as staked,
+                   gain * least(1, 0.5::double / stake) as day_return, flat from d),
+        w as (
+            select *, exp(sum(ln(1 + day_return)) over (order by slate_date)) as bankroll,
+                   sum(flat) over (order by slate_date) as flat_profit from r)
+        select slate_date, n_bets, round(staked, 7) as staked, round(day_return, 7) as day_return, round(bankroll, 7) as bankroll,
+               round(flat_profit, 7) as flat_profit,
+               round(1 - bankroll / greatest(max(bankroll) over (order by slate_date), 1), 7) as drawdown from w)""",
     "only_in_first_copy": "select count(*) as n from {int_batter_game} where batter_id % 37 = 0",
     # pooled scores; the map at i is the highest of the lowest running means that span i
     "isotonic_map": """

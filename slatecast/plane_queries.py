@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.plans import evaluation, matchup, output, research, staging
+from slatecast.plans import evaluation, history, matchup, output, research, staging, staking
 from slatecast.plans import model as training
 from slatecast.plans.boosting import BoostParams, fit_boosted
 from slatecast.plans.quality import only_in_first
@@ -286,6 +286,30 @@ def lineup_slice(spark, sf_dir):
     return rows.select("lineup_confirmed", "n", *[F.round(c, 8).alias(c) for c in ("base_rate", "cal_gap", "log_loss", "brier")])
 
 
+@query
+def dim_venue(spark, sf_dir):
+    """Venues with their home team's name over time."""
+    return StarWarehouse(spark, sf_dir, ("stg_games",)).dim_venue
+
+
+@query
+def game_venues(spark, sf_dir):
+    """Every game with the version of its venue that held on its date."""
+    w = StarWarehouse(spark, sf_dir, ("stg_games", "dim_venue"))
+    return history.with_venue(w.stg_games, w.dim_venue)
+
+
+@query
+def kelly_curve(spark, sf_dir):
+    """Bankroll of quarter-Kelly stakes at derived odds, day by day."""
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    odds = 1 + (F.col("game_pk") * 13 + F.col("batter_id") * 5) % 64 / 64.0
+    graded = _shown(w).join(w.fct_batter_game.select("game_pk", "batter_id", "has_hit"), ["game_pk", "batter_id"])
+    curve = staking.kelly_curve(graded.select("slate_date", "p_hit", "has_hit", odds.alias("odds")))
+    return curve.select("slate_date", "n_bets", *[F.round(c, 7).alias(c) for c in (
+        "staked", "day_return", "bankroll", "flat_profit", "drawdown")])
+
+
 @query
 def changed_lineups(spark, sf_dir):
     """Games to score again in the evening: their order moved after the first load."""

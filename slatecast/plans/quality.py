@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slatecast.operators.dedup import top_k
+from slatecast.plans.history import overlapping
 
 
 class CheckFailed(Exception):
@@ -167,6 +168,8 @@ def suite(warehouse, models: Sequence[str] | None = None) -> DataFrame:
         checks.append(check_accepted(warehouse.fct_batter_game, "has_hit", [0, 1], "fct_batter_game"))
     if wanted("feat_batter_game"):
         checks.append(check_leakage(warehouse.feat_batter_game))
+    if wanted("dim_venue"):
+        checks.append(_row(overlapping(warehouse.dim_venue, "venue_id"), "no overlap dim_venue", F.count(F.lit(1))))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slatecast import adapter
 from slatecast.functions.pitch_flags import pitch_flags
-from slatecast.plans import features, intermediate, marts, slate, staging
+from slatecast.plans import features, history, intermediate, marts, slate, staging
 from slatecast.session import store
 from slatecast.sources.readers import empty
 
@@ -77,6 +77,7 @@ _BUILDERS = {
     "int_pitcher_rolling": lambda w: intermediate.int_pitcher_rolling(w.fct_pitcher_game),
     "int_team_rolling": lambda w: intermediate.int_team_rolling(w.fct_team_game),
     "dim_game": lambda w: marts.dim_game(w.stg_games, w.int_game_starters),
+    "dim_venue": lambda w: history.dim_venue(w.stg_games),
     "dim_manager": lambda w: marts.dim_manager(w.stg_coaches),
     "dim_player": lambda w: marts.dim_player(w.stg_pitches, w.stg_batting_lines),
     "dim_team": lambda w: marts.dim_team(w.stg_games, w.stg_pitches),
