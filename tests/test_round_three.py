@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from slatecast.operators import sketches
 from slatecast.operators.asof import asof_join, interval_join, validity
 from slatecast.operators.ranks import quantiles
-from slatecast.plans import matchup, output, research
+from slatecast.plans import history, matchup, output, research, staking
 from slatecast.plans.boosting import Boosted, BoostParams, fit_boosted
 
 
@@ -163,3 +163,43 @@ def test_snapshot_shown_and_games_to_score_again(spark):
     played = spark.createDataFrame([(1, 7, 1), (2, 8, 0)], "game_pk long, batter_id long, has_hit int")
     rows = {r.lineup_confirmed: r for r in output.lineup_slice(output.predictions_as_shown(log, F.lit(evening)), played).collect()}
     assert rows[True].n == 1 and rows[True].brier == pytest.approx(0.16) and rows[False].cal_gap == pytest.approx(-0.4)
+
+
+def test_versions_follow_changes_and_never_overlap(spark, small_groups):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    rows = [(1, day(d), "A" if d < 60 or d >= 90 else "B") for d in range(0, 130, 2)]      # A, B, A again
+    rows += [(1, day(60), "AA"), (2, day(5), None), (2, day(6), None), (2, day(9), "C"), (None, day(1), "x"), (3, None, "y")]
+    frame = spark.createDataFrame(rows, "venue_id long, official_date date, name string")
+    found = history.changing_dimension(frame, "venue_id", "official_date", ["name"])
+    got = sorted((r.venue_id, r.version, r.name, r.valid_from, r.valid_to) for r in found.collect())
+    assert got == [(1, 1, "A", day(0), day(60)), (1, 2, "B", day(60), day(90)), (1, 3, "A", day(90), None),
+                   (2, 1, None, day(5), day(9)), (2, 2, "C", day(9), None)]
+    assert history.overlapping(found, "venue_id").count() == 0
+    wrong = spark.createDataFrame([(1, 1, day(0), day(9)), (1, 2, day(8), None), (1, 3, day(20), None)],
+                                  "venue_id long, version int, valid_from date, valid_to date")
+    assert sorted(r.version for r in history.overlapping(wrong, "venue_id").collect()) == [2, 3]
+
+
+def test_kelly_curve_by_hand(spark, small_groups):
+    rng = random.Random(4)
+    rows = [(dt.date(2024, 4, 1) + dt.timedelta(rng.randrange(100)), rng.random(), 1 + rng.random() * 2, rng.choice([0, 1, 1, None]))
+            for _ in range(900)]
+    rows += [(dt.date(2024, 8, 1), 0.5, 1.0, 1), (dt.date(2024, 8, 1), 0.9, None, 1)]
+    frame = spark.createDataFrame(rows, "slate_date date, p_hit double, odds double, has_hit int")
+    got = {r.slate_date: r for r in staking.kelly_curve(frame).collect()}
+    bank, peak, flat = 1.0, 1.0, 0.0
+    for date in sorted({r[0] for r in rows}):
+        bets = [(0.25 * max(0, (p * (o - 1) - (1 - p)) / (o - 1)), o, y) for d, p, o, y in rows
+                if d == date and o and o > 1 and y is not None and p - 1 / o >= 0.02]
+        if not bets:
+            assert date not in got
+            continue
+        scale = min(1, 0.5 / sum(b[0] for b in bets))
+        gain = scale * sum(s * (o - 1) if y else -s for s, o, y in bets)
+        flat += sum(o - 1 if y else -1 for _, o, y in bets)
+        bank *= 1 + gain
+        peak = max(peak, bank)
+        r = got[date]
+        assert (r.n_bets, r.day_return, r.bankroll, r.flat_profit, r.drawdown) == (
+            len(bets), pytest.approx(gain), pytest.approx(bank), pytest.approx(flat), pytest.approx(1 - bank / peak))
+        assert r.staked <= 0.5 + 1e-12
