@@ -161,6 +161,23 @@ FINAL = {
         select slate_date, n_bets, round(staked, 7) as staked, round(day_return, 7) as day_return, round(bankroll, 7) as bankroll,
                round(flat_profit, 7) as flat_profit,
                round(1 - bankroll / greatest(max(bankroll) over (order by slate_date), 1), 7) as drawdown from w)""",
+    # the recursion itself, week by week
+    "drift_watch": """
+        select * from (with recursive g as (
+            select cast(date_trunc('week', game_date) as date) as week, game_date, p_hit - has_hit as e
+            from {predictions} join (select game_pk, batter_id, game_date, has_hit from {fct_batter_game}) using (game_pk, batter_id)
+            where run_ts <= timestamp '2026-06-01 12:30:00' and has_hit is not null),
+        w as (
+            select week, n, brier, row_number() over (order by week) as i
+            from (select week, count(*) as n, avg(e * e) as brier from g group by week)
+            where week + 7 <= (select max(game_date) from g) - 7),
+        c as (
+            select i, greatest(0, brier - 0.34::double) as cusum from w where i = 1
+            union all
+            select w.i, greatest(0, c.cusum + w.brier - 0.34::double) from c join w on w.i = c.i + 1)
+        select week, n, round(brier + 1e-12::double, 9) as brier, round(cusum + 1e-12::double, 9) as cusum,
+               cusum > 0.05::double as alarm
+        from w join c using (i))""",
     "only_in_first_copy": "select count(*) as n from {int_batter_game} where batter_id % 37 = 0",
     # pooled scores; the map at i is the highest of the lowest running means that span i
     "isotonic_map": """

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecast.plans import evaluation, history, matchup, output, research, staging, staking
+from slatecast.plans import drift, evaluation, history, matchup, output, research, staging, staking
 from slatecast.plans import model as training
 from slatecast.plans.boosting import BoostParams, fit_boosted
 from slatecast.plans.quality import only_in_first
@@ -310,6 +310,31 @@ def kelly_curve(spark, sf_dir):
         "staked", "day_return", "bankroll", "flat_profit", "drawdown")])
 
 
+#: Backtest score, slack and limit of the registered drift watch.
+DRIFT = (0.33, 0.01, 0.05)
+
+
+@query
+def drift_watch(spark, sf_dir):
+    """Weekly Brier score of what was shown, graded as outcomes land, and its cumulative sum."""
+    from slatecast.queries import date_slices
+
+    w = StarWarehouse(spark, sf_dir, ("stg_pitches", "batter_game_by_hand", "fct_batter_game"))
+    played = w.fct_batter_game.select("game_pk", "batter_id", "has_hit", F.col("game_date").cast("timestamp").alias("played_at"))
+    graded = _shown(w).select("game_pk", "batter_id", "p_hit").join(played, ["game_pk", "batter_id"])
+    graded = store(graded.filter("has_hit is not null"), "graded")
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("landed-grades", "weekly-brier", "checkpoint"))
+
+    def weekly() -> DataFrame:
+        return jobs.weekly_brier(jobs.landed_stream(spark, path, graded.schema), "played_at")
+
+    jobs.land_and_run(date_slices(graded, "played_at", ["2023-06-01", "2025-01-01"]), path,
+                      lambda: jobs.drain(weekly(), out, checkpoint))
+    weeks = spark.read.schema("week date, n long, brier double").parquet(out)
+    return drift.drift_curve(weeks, *DRIFT).select(
+        "week", "n", *[F.round(F.col(c) + 1e-12, 9).alias(c) for c in ("brier", "cusum")], "alarm")
+
+
 @query
 def changed_lineups(spark, sf_dir):
     """Games to score again in the evening: their order moved after the first load."""

@@ -125,3 +125,19 @@ def grade_stream(outcomes: DataFrame, predictions: DataFrame, event_time: str |
     once = dedup_stream(outcomes, ["game_pk", "batter_id"], event_time)
     graded = once.select("game_pk", "batter_id", "has_hit", "hits", "pa")
     return graded.join(predictions, ["game_pk", "batter_id"])
+
+
+def weekly_brier(graded: DataFrame, event_time: str, lateness: str = "7 days") -> DataFrame:
+    """Brier score per closed week (from Monday) of arriving graded predictions: (week, n, brier).
+
+    A prediction that lands again counts once. State holds the keys and the open
+    weeks inside the watermark; a week comes out once, when no row of it can
+    still be accepted, so a restart from the checkpoint neither repeats nor
+    loses one.
+    """
+    once = dedup_stream(graded, ["game_pk", "batter_id"], event_time, lateness)
+    # weeks counted from the epoch begin on Thursdays
+    week = F.window(event_time, "7 days", "7 days", "4 days")
+    error = F.col("p_hit") - F.col("has_hit")
+    sums = once.groupBy(week.alias("_week")).agg(F.count(F.lit(1)).alias("n"), F.avg(error * error).alias("brier"))
+    return sums.select(F.col("_week.start").cast("date").alias("week"), "n", "brier")

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from slatecast.operators import sketches
 from slatecast.operators.asof import asof_join, interval_join, validity
 from slatecast.operators.ranks import quantiles
-from slatecast.plans import history, matchup, output, research, staking
+from slatecast.plans import drift, history, matchup, output, research, staking
 from slatecast.plans.boosting import Boosted, BoostParams, fit_boosted
+from slatecast.streaming import jobs
 
 
 def events(spark, n=600, seed=1):
@@ -203,3 +204,33 @@ def test_kelly_curve_by_hand(spark, small_groups):
         assert (r.n_bets, r.day_return, r.bankroll, r.flat_profit, r.drawdown) == (
             len(bets), pytest.approx(gain), pytest.approx(bank), pytest.approx(flat), pytest.approx(1 - bank / peak))
         assert r.staked <= 0.5 + 1e-12
+
+
+def test_drift_watch_restarts_and_follows_the_recursion(spark, tmp_path, small_groups):
+    rng = random.Random(8)
+    start = dt.datetime(2024, 1, 3)
+    rows = [(g, g % 7, start + dt.timedelta(days=g // 12), rng.random(), rng.randrange(2)) for g in range(1500)]
+    schema = "game_pk int, batter_id int, played_at timestamp, p_hit double, has_hit int"
+    land, out, check = (str(tmp_path / n) for n in ("land", "out", "check"))
+
+    def run(part):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(land)
+        stream = jobs.landed_stream(spark, land, spark.createDataFrame([], schema).schema)
+        jobs.drain(jobs.weekly_brier(stream, "played_at"), out, check)
+
+    for a, b in ((0, 500), (480, 1000), (960, 1500)):       # each run reloads the last days of the one before
+        run(rows[a:b])
+    weekly = spark.read.schema("week date, n long, brier double").parquet(out)
+    want, last = {}, rows[-1][2].date() - dt.timedelta(7)
+    for g, b, at, p, y in rows:
+        week = at.date() - dt.timedelta(at.weekday())
+        want.setdefault(week, []).append((p - y) ** 2)
+    want = {w: v for w, v in want.items() if w + dt.timedelta(7) <= last}
+    found = {r.week: r for r in drift.drift_curve(weekly, 0.3, 0.02, 0.1).collect()}
+    assert set(found) == set(want)
+    cusum = 0.0
+    for week in sorted(want):
+        brier = sum(want[week]) / len(want[week])
+        cusum = max(0.0, cusum + brier - 0.32)
+        r = found[week]
+        assert (r.n, r.brier, r.cusum, r.alarm) == (len(want[week]), pytest.approx(brier), pytest.approx(cusum), cusum > 0.1)
