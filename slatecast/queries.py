@@ -179,8 +179,13 @@ def _features(spark, sf_dir) -> StarWarehouse:
     return StarWarehouse(spark, sf_dir, (*TABLES, "feat_batter_game"))
 
 
+def _lazy_features(spark, sf_dir) -> DataFrame:
+    """The training frame unwritten, so that only the columns a query reads are built."""
+    return StarWarehouse(spark, sf_dir, TABLES).feat_batter_game
+
+
 def _factor_values(spark, sf_dir) -> DataFrame:
-    return store(research.long_form(_features(spark, sf_dir).feat_batter_game, research.FACTORS), "factor-values")
+    return store(research.long_form(_lazy_features(spark, sf_dir), research.FACTORS), "factor-values")
 
 
 def _research_frame(spark, sf_dir) -> DataFrame:
@@ -211,7 +216,7 @@ def controlled_ic(spark, sf_dir):
 
 @both_sizes
 def study_continuous(spark, sf_dir, sizes):
-    return rounded(research.study_continuous(_features(spark, sf_dir).feat_batter_game,
+    return rounded(research.study_continuous(_lazy_features(spark, sf_dir),
                                              min_month_rows=sizes["month_rows"]), 8)
 
 
@@ -244,12 +249,12 @@ def study_scoreboard(spark, sf_dir, sizes):
 
 @query
 def daily_tiers(spark, sf_dir):
-    return research.daily_tiers(_features(spark, sf_dir).feat_batter_game)
+    return research.daily_tiers(_lazy_features(spark, sf_dir))
 
 
 @query
 def streak_buckets(spark, sf_dir):
-    return rounded(research.streak_buckets(_features(spark, sf_dir).feat_batter_game))
+    return rounded(research.streak_buckets(_lazy_features(spark, sf_dir)))
 
 
 @query
@@ -265,12 +270,17 @@ def pitchtype_matrix(spark, sf_dir, sizes):
 
 # ---- evaluation ----------------------------------------------------------------
 
+#: What the evaluation reads of a starter's feature row.
+EVALUATED = ["game_pk", "game_date", "season", "month", "batter_id", "has_hit", "hits", "pa", "is_home", "batting_order_slot",
+             "pa_roll10", "eb_hit_per_pa_career", "season_pa_prior", "season_hits_prior"]
+
+
 def _scored(spark, sf_dir) -> DataFrame:
     """Starters' feature rows with a fixed stand-in score and the naive pickers."""
-    ready = store(training.prepare(_features(spark, sf_dir).feat_batter_game), "starters")
+    ready = store(training.prepare(_lazy_features(spark, sf_dir)).select(*EVALUATED), "starters")
     fill = training.medians(ready, ["pa_roll10"])["pa_roll10"]
     stand_in = ((F.col("game_pk") * 31 + F.col("batter_id") * 7) % 128).cast("double") / 128
-    return store(evaluation.baseline_scores(ready.withColumn("p_model", stand_in), fill), "scored")
+    return evaluation.baseline_scores(ready.withColumn("p_model", stand_in), fill)
 
 
 MODELS = {"model": "p_model", "eb_pa": "eb_pa"}
@@ -314,7 +324,7 @@ def picker_curve(spark, sf_dir):
 @query
 def temporal_splits(spark, sf_dir):
     """Rows and date range of every split, with the recency weight of the train set."""
-    ready = store(training.prepare(_features(spark, sf_dir).feat_batter_game), "starters")
+    ready = store(training.prepare(_lazy_features(spark, sf_dir)).select("season", "game_date"), "starters")
     sp = training.temporal_splits(ready)
     parts = {"train": training.recency_weight(sp.train, 730), "train_fit": sp.train_fit,
              "train_tail": sp.train_tail, "calib_fit": sp.calib_fit, "calib_eval": sp.calib_eval,
@@ -436,11 +446,11 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_latest(spark, sf_dir):
     """Games that land twice over, merged into the buckets they touch."""
-    raw = StarWarehouse(spark, sf_dir, ()).raw("games")
+    raw = store(StarWarehouse(spark, sf_dir, ()).raw("games"), "games-by-date")
     path, checkpoint = scratch_path(spark, "landed-games"), scratch_path(spark, "checkpoint")
     table = jobs.BucketedTable(spark, scratch_path(spark, "latest-games"), raw.schema, ["game_pk"],
                                [F.col("load_id").desc_nulls_last()], buckets=16)
-    jobs.land_and_run(date_slices(raw, "official_date", ["2023-01-01", "2025-01-01"]), path, lambda: jobs.latest_stream(
+    jobs.land_and_run(date_slices(raw, "official_date", ["2024-01-01"]), path, lambda: jobs.latest_stream(
         jobs.landed_stream(spark, path, raw.schema), table, checkpoint))
     return table.current()
 
@@ -526,7 +536,7 @@ def event_quantiles(spark, sf_dir):
 @query
 def approximate_edges(spark, sf_dir):
     """Decile edges of every factor from merged monthly sketches, checked against their exact ranks."""
-    long = store(research.long_form(_features(spark, sf_dir).feat_batter_game, research.FACTORS), "factor-values")
+    long = _factor_values(spark, sf_dir)
     edges = store(research.approximate_edges(long), "sketch-edges")
     ranks = sketches.edge_ranks(long, ["factor"], "value", edges)
     p, n, most = F.col("edge") / 10, F.col("n"), 2 * sketches.rank_error()
