@@ -19,7 +19,8 @@ higher for closer ones (the tests measure it).
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, and so do vectors of unlike lengths; rows that
 repeat a vec_id are one vector (the least of them); a row without a vec_id has
-no links and no component; an empty table gives an empty result.
+no links and no component; an empty table gives an empty result; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

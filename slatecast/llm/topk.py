@@ -15,7 +15,8 @@ no part, and neither do rows without a vec_id; missing dimensions count as 0; a
 query never gets rows with its own vec_id; repeated query rows are one query
 (its least vector), repeated candidate rows are separate candidates. Components
 so large that sums could pass 2^53 are multiplied as unbounded integers, and
-scores outside the range of a long are held at its ends.
+scores outside the range of a long are held at its ends. An empty table gives an
+empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

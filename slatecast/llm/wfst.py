@@ -1,10 +1,12 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from a model file and composed with each input:
+Three mappings make up the transducer. The first and the last act on single
+characters and are applied directly, before and after the path search; the
+search itself runs over the machine of pieces composed with each input:
 
 * the normaliser: a blank for the start of a text, blanks to the mark U+2581;
 * the pieces: an arc for each stretch of the input that is a piece;
-* byte fallback: arcs from a character outside the vocabulary to its UTF-8 bytes.
+* byte fallback: a character outside the vocabulary becomes its UTF-8 bytes.
 
 Weights lie in the tropical semiring (sum along a path, minimum over paths).
 For a unigram model an arc weighs minus the piece's score. For a byte-pair
@@ -21,7 +23,10 @@ border, so it is done stretch by stretch, and stretches are remembered.
 Defined cases: a null text gives null ids and 0 tokens; an empty text gives no
 ids; texts of any length are encoded whole (a stretch without borders too, in
 linear memory); U+2581 in a text is read as a blank, so such a text is not
-restored (``lossless`` false). User-defined pieces and character maps other
+restored (``lossless`` false); a null doc_id is kept and repeated rows are coded
+each; an empty table gives an empty result; other columns are not read, whatever
+their names. A model without byte fallback gives one unknown id per unknown
+character. User-defined pieces and character maps other
 than identity are refused when the model is compiled.
 """
 
