@@ -29,7 +29,8 @@ text are one document and are treated alike; a null doc_id comes last in
 order; repeats inside one document go too unless they overlap their first
 occurrence; blank lines inside or next to a repeated run belong to it; each
 removed line stands earlier in the corpus; lines end at "\\n" and whole texts
-are read.
+are read; an empty table gives an empty result; rows travel as one column, so
+their names may be any.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ fewer words than a shingle is one shingle; a text without words (null, empty)
 is a class of its own; rows that repeat a doc_id with one text are alike,
 and with different texts each text has its own class: ``keep_one`` keeps or drops
 each row by the class of its text, the report names one class for a doc_id (of
-the text whose word digest is least); a null doc_id keeps its row, without a class.
+the text whose word digest is least); a null doc_id keeps its row, without a class;
+texts of any length are read whole; an empty table gives an empty result; rows
+travel as one column, so their names may be any.
 """
 
 from __future__ import annotations
