@@ -60,3 +60,16 @@ def test_pitches_move_before_they_are_wide_and_by_game_only_once(spark):
     w = StarWarehouse(spark, SF, ("stg_pitches", "stg_games", "batter_game_by_hand"))
     for grouped in (w.int_batter_game, w.int_batter_game_platoon, w.int_game_starters, w.stg_batting_lines, w.dim_game):
         assert "Exchange hashpartitioning" not in physical(grouped)
+
+
+def test_facts_of_a_game_meet_without_a_shuffle(spark):
+    tables = ("stg_pitches", "stg_games", "batter_game_by_hand", "fct_standings_daily", "dim_manager")
+    w = StarWarehouse(spark, SF, tables)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        by_key = w.int_batter_game.join(w.int_batter_game_platoon.drop("game_date"), ["game_pk", "batter_id"])
+        assert "Exchange hashpartitioning" not in physical(by_key)
+        assert "Exchange hashpartitioning" not in physical(w.fct_pitcher_game)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
