@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,9 +128,22 @@ def stretches(repeats: list[dict]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
+#: Bytes that a task may hand to Python at a time, where the session allows more: texts and the passages they are
+#: compared with stand in the JVM's buffer, in Python's and in its lists at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit on the bytes of an Arrow batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", average: int = AVERAGE,
                 long_words: int = LONG_WORDS) -> DataFrame:
     """(doc, n_lines, n_removed): every row, its text without what stood before; ``doc`` has the columns of ``docs``."""
+    small_batches(docs.sparkSession)
     options = {"average": average, "long_words": long_words}
     key = [F.coalesce(docs[doc_id].cast("long"), F.lit((1 << 63) - 1)).alias("key"),
            F.xxhash64(docs[text]).alias("tag")]
