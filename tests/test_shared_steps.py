@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from conftest import SF
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slatecast.functions.rates import rounded_to
 from slatecast.operators.ordered import RecentMeans, ordered_windows
+from slatecast.plans import quality, research
 from slatecast.plans.warehouse import StarWarehouse
 
 
@@ -73,3 +75,17 @@ def test_facts_of_a_game_meet_without_a_shuffle(spark):
         assert "Exchange hashpartitioning" not in physical(w.fct_pitcher_game)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_studies_need_no_join_back_and_no_written_features(spark):
+    w = StarWarehouse(spark, SF, ("stg_pitches", "stg_games", "fct_batter_game", "fct_pitcher_game", "fct_team_game"))
+    frame = research.research_frame(w.feat_research, w.fct_batter_game, w.dim_player, w.dim_team, w.fct_batter_vs_pitcher)
+    plain = research.research_frame(w.feat_batter_game, w.fct_batter_game, w.dim_player, w.dim_team, w.fct_batter_vs_pitcher)
+
+    def facts_read(df) -> int:
+        return len(set(re.findall(r"manager_name#\d+", df._jdf.queryExecution().optimizedPlan().toString())))
+
+    assert sorted(frame.columns) == sorted(plain.columns)
+    assert facts_read(frame) < facts_read(plain) or physical(frame).count("Join") < physical(plain).count("Join")
+    assert set(research.CATEGORICAL) <= set(frame.columns)
+    assert set(quality.LEAK_COLUMNS) <= set(w.feat_batter_game.columns)
