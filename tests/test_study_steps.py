@@ -2,8 +2,12 @@
 
 from conftest import SF
 
-from slatecast.plans import research
-from slatecast.plans.warehouse import StarWarehouse
+from slatecast.plans import quality, research
+from slatecast.plans.warehouse import TABLES, StarWarehouse
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_factor_values_are_rounded_in_one_place(spark):
@@ -21,3 +25,13 @@ def test_long_methods_and_bucket_sorts_are_off(spark):
     # the JVM never compiles a method of more than 8,000 bytes
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 1
+
+
+def test_checks_write_only_the_columns_they_read(spark):
+    w = StarWarehouse(spark, SF, TABLES)
+    frame = quality.checked(w, "feat_batter_game")
+    assert set(frame.columns) == {*quality.UNIQUE["feat_batter_game"], *quality.NOT_NULL["feat_batter_game"],
+                                  *quality.LEAK_COLUMNS}
+    # read by several checks, so it is built once
+    assert "FileScan" in physical(frame) and "Window" not in physical(frame)
+    assert quality.leaks(frame).isEmpty()
