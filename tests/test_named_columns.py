@@ -1,10 +1,13 @@
-"""Queries that name their columns: the same values, from fewer models."""
+"""Queries that name their columns: the same values, from fewer models; scores ranked in bands."""
+
+import random
 
 import pytest
 
 from conftest import SF
 from slatecast import queries
-from slatecast.plans import features, intermediate, marts, research
+from slatecast.operators import ordered
+from slatecast.plans import evaluation, features, intermediate, marts, research
 from slatecast.plans.warehouse import StarWarehouse
 
 KEY = ["game_pk", "batter_id"]
@@ -39,3 +42,25 @@ def test_categorical_study_builds_only_what_it_reads(spark, monkeypatch):
                          (intermediate, "batter_game_by_hand"), (features, "prior_seasons")):
         monkeypatch.setattr(module, name, refuse)
     assert queries.QUERIES["study_categorical_small_groups"](spark, SF).count() > 0
+
+
+def area(data):
+    pos, neg = ([p for y, p in data if y == v] for v in (1, 0))
+    return sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+
+
+def test_auc_cuts_no_group_whose_scores_are_spread(spark, small_groups, monkeypatch):
+    draw = random.Random(3)
+    data = [(draw.randrange(2), draw.random()) for _ in range(400)]
+    df = spark.createDataFrame([("m", y, p) for y, p in data], "model string, y int, p double")
+    monkeypatch.setattr(ordered, "with_position", refuse)
+    assert evaluation.auc(df, ["model"], "y", "p").first()["auc"] == pytest.approx(area(data), abs=1e-12)
+
+
+def test_auc_of_a_full_band_ties_and_ends(spark, small_groups):
+    draw = random.Random(4)
+    data = [(draw.randrange(2), 0.5 + draw.randrange(90) * 1e-8) for _ in range(300)]
+    data += [(draw.randrange(2), draw.choice([-1.0, 0.0, 0.25, 1.0, 2.0])) for _ in range(60)]
+    df = spark.createDataFrame([("m", y, p) for y, p in data], "model string, y int, p double")
+    clipped = [(y, min(max(p, evaluation.EPS), 1 - evaluation.EPS)) for y, p in data]
+    assert evaluation.auc(df, ["model"], "y", "p").first()["auc"] == pytest.approx(area(clipped), abs=1e-12)
