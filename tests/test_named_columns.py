@@ -44,6 +44,13 @@ def test_categorical_study_builds_only_what_it_reads(spark, monkeypatch):
     assert queries.QUERIES["study_categorical_small_groups"](spark, SF).count() > 0
 
 
+def test_scores_are_built_without_pitch_measures(spark, monkeypatch):
+    for module, name in ((marts, "fct_pitcher_game"), (marts, "fct_team_game"), (intermediate, "batter_game_by_hand"),
+                         (intermediate, "int_game_starters"), (features, "prior_seasons")):
+        monkeypatch.setattr(module, name, refuse)
+    assert queries.QUERIES["backtest_gates"](spark, SF).count() == 1
+
+
 def area(data):
     pos, neg = ([p for y, p in data if y == v] for v in (1, 0))
     return sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
